@@ -291,11 +291,9 @@ def landed_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def text_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job = _job(spark, messages(spark, sf_dir))
-    job.run_batch(spark)
     path = scratch_dir(spark, "text")
-    export_text(job.committed(spark), path)
-    return read_text(spark, path).select("topic", "event_day", "event_hour", "line")
+    export_text(accepted(csv_hour_mapper(messages(spark, sf_dir))), path)
+    return read_text(spark, path)
 
 
 @query

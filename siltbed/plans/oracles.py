@@ -142,8 +142,7 @@ from ({_metrics(f'"offset" // {ROLLOVER_BLOCK} as batch_no,')})""",
 select {KEYS}, earliest as start_offset, value, reject_reason
 from routed join bounds using (topic, "partition") where reject_reason is not null""",
     "landed_rebalanced": _ONE_BATCH,
-    "text_export": f"""
-select topic, event_day, event_hour, line from ({_ONE_BATCH})""",
+    "text_export": "select topic, event_day, event_hour, value as line from routed where reject_reason is null",
     "stream_landing": _TWO_BATCHES,
     "replay_idempotent": _ONE_BATCH,
     "committed_read": _TWO_BATCHES,

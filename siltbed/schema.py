@@ -34,16 +34,13 @@ BOUNDS_SCHEMA = _schema("topic string, partition int, earliest bigint, latest bi
 HOUR_BUCKETS = _schema("event_day date, event_hour int")
 ROUTE_BUCKETS = _schema("route string")
 
-_LINE_COLUMNS = "partition int, offset bigint, start_offset bigint, line string"
 
-REJECTED_SCHEMA = _schema(_LINE_COLUMNS + ", reject_reason string, topic string, commit_key string")
-
-
-def landed_schema(buckets: T.StructType) -> T.StructType:
-    """Landed rows: data columns, then the directory columns.
+def messages_schema(buckets: T.StructType) -> T.StructType:
+    """Rows of the messages table: data columns, then directory columns.
 
     Declared in full, because the type of a directory column would otherwise be
     guessed from its text.
     """
-    data = _schema(_LINE_COLUMNS + ", topic string").fields
-    return T.StructType([*data, *buckets.fields, T.StructField("commit_key", T.StringType())])
+    data = _schema("partition int, offset bigint, start_offset bigint, line string, reject_reason string")
+    directories = _schema("commit_key string, outcome string, topic string")
+    return T.StructType([*data.fields, *directories.fields, *buckets.fields])

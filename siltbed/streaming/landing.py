@@ -205,12 +205,12 @@ class LandingJob:
         )
 
     def _write(self, batch: DataFrame, ranges: DataFrame, commit_key: str, n_ranges: int) -> None:
-        starts = ranges.select(*KEYS, "start_offset", F.lit(commit_key).alias("commit_key"))
+        starts = ranges.select(*KEYS, "start_offset")
         if n_ranges <= self.max_broadcast_rows:
             starts = F.broadcast(starts)
         mapped = self.mapper(batch, **self._mapper_arguments())
         rows = mapped.join(starts, KEYS).where(F.col("offset") >= F.col("start_offset"))
-        write_messages(rows, self.output, self.mapper.buckets, rebalance=self.rebalance)
+        write_messages(rows, self.output, commit_key, self.mapper.buckets, rebalance=self.rebalance)
 
     def _ranges(self, ranges: DataFrame, batch_id: int, commit_key: str = "") -> DataFrame:
         return ranges.withColumns(
@@ -240,7 +240,7 @@ class LandingJob:
 
     def committed_rejects(self, spark: SparkSession) -> DataFrame:
         """Rejected rows of committed batches with their reasons."""
-        return self._committed(spark, read_rejected(spark, self.output))
+        return self._committed(spark, read_rejected(spark, self.output, self.mapper.buckets))
 
     def _committed(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
         commits = OffsetLedger(spark, self.output).commit_keys(self.group)

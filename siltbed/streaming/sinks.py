@@ -13,9 +13,9 @@ TEXT_CODECS = ("none", "gzip", "bzip2", "lz4", "snappy", "deflate")
 
 
 def export_text(
-    landed: DataFrame, path: str, buckets: T.StructType = HOUR_BUCKETS, compression: str = "gzip"
+    rows: DataFrame, path: str, buckets: T.StructType = HOUR_BUCKETS, compression: str = "gzip"
 ) -> None:
-    """Write landed lines as text, in offset order per route, partition and batch.
+    """Write mapped or landed lines as text, in offset order per bucket and partition.
 
     A range shuffle on bucket, partition and offset does the ordering: a bucket
     with most of the rows is cut between offsets, and its part files in name
@@ -26,7 +26,7 @@ def export_text(
         raise ValueError(f"text codec must be one of {TEXT_CODECS}, got {compression!r}")
     directories = ["topic", *buckets.fieldNames()]
     (
-        landed.select("line", *directories, "partition", "offset")
+        rows.select("line", *directories, "partition", "offset")
         .orderBy(*directories, "partition", "offset")
         .select("line", *directories)
         .write.mode("overwrite")

@@ -1,13 +1,14 @@
 """Tables under one output root.
 
-    <root>/messages/outcome=landed/topic=/<buckets>/commit_key=/
-    <root>/messages/outcome=rejected/...
+    <root>/messages/commit_key=/outcome=landed/topic=/<buckets>/
+    <root>/messages/commit_key=/outcome=rejected/topic=/...
     <root>/ledger/
 
 Landed and rejected rows are one write, so a batch is scanned and parsed once.
-The commit key names the offset ranges of a batch and is its own directory:
-writing the same batch again replaces the same directories, a late message adds
-one to its old hour, and an attempt with other ranges never mixes with it.
+The commit key names the offset ranges of a batch and is its own folder: writing
+the same batch again replaces that folder and nothing else, an attempt with
+other ranges never mixes with it, and late messages reach their old hour under
+the key of the batch that brought them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.operators.offsets import ledger_heads
-from siltbed.schema import HOUR_BUCKETS, LEDGER_SCHEMA, REJECTED_SCHEMA, landed_schema
+from siltbed.schema import HOUR_BUCKETS, LEDGER_SCHEMA, messages_schema
 
 LANDED, REJECTED = "landed", "rejected"
 
@@ -46,47 +47,53 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def write_messages(
     rows: DataFrame,
     root: str,
+    commit_key: str,
     buckets: T.StructType = HOUR_BUCKETS,
     *,
     rebalance: bool = False,
     compression: str = "zstd",
 ) -> None:
-    """Write mapped rows that carry ``start_offset`` and ``commit_key``.
+    """Write mapped rows that carry ``start_offset`` as the whole content of one commit key.
 
-    Only the directories they fill are replaced. Nothing is shuffled by default:
-    each task writes the hours its slice of the log touches, so an hour or
-    partition with most of the rows is still written by as many tasks as read
-    it. ``rebalance`` shuffles by directory first for fewer files; adaptive
-    execution then splits the directories that are large.
+    Nothing is shuffled by default: each task writes the hours its slice of the
+    log touches, so an hour or partition with most of the rows is still written
+    by as many tasks as read it. ``rebalance`` shuffles by directory first for
+    fewer files; adaptive execution then splits the directories that are large.
     """
-    directories = ["outcome", "topic", *buckets.fieldNames(), "commit_key"]
+    directories = ["outcome", "topic", *buckets.fieldNames()]
     reason = F.col("reject_reason") if "reject_reason" in rows.columns else F.lit(None).cast("string")
-    outcome = F.when(reason.isNull(), LANDED).otherwise(REJECTED)
     shaped = rows.select(
-        "partition", "offset", "start_offset", "line",
-        reason.alias("reject_reason"), outcome.alias("outcome"), *directories[1:],
-    )
+        "partition",
+        "offset",
+        "start_offset",
+        "line",
+        reason.alias("reject_reason"),
+        F.when(reason.isNull(), LANDED).otherwise(REJECTED).alias("outcome"),
+        *directories[1:],
+    )
     if rebalance:
         shaped = shaped.hint("rebalance", *directories)
     (
         shaped.sortWithinPartitions(*directories, "partition", "offset")
         .write.mode("overwrite")
-        # Per write: without it, overwrite would clear every batch already under the root.
-        .option("partitionOverwriteMode", "dynamic")
+        # The folder holds one batch only, so stale files of an earlier attempt must go with it.
+        .option("partitionOverwriteMode", "static")
         .option("compression", compression)
         .partitionBy(*directories)
-        .parquet(f"{root}/messages")
+        .parquet(f"{root}/messages/commit_key={commit_key}")
     )
 
 
 def read_landed(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every landed row on disk, committed or not. See ``committed_read``."""
-    return read_or_empty(spark, f"{root}/messages/outcome={LANDED}", landed_schema(buckets))
+    rows = read_or_empty(spark, f"{root}/messages", messages_schema(buckets))
+    return rows.where(F.col("outcome") == LANDED).drop("outcome", "reject_reason")
 
 
-def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+def read_rejected(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every rejected row on disk with the reason, committed or not."""
-    return read_or_empty(spark, f"{root}/messages/outcome={REJECTED}", REJECTED_SCHEMA)
+    rows = read_or_empty(spark, f"{root}/messages", messages_schema(buckets))
+    return rows.where(F.col("outcome") == REJECTED).drop("outcome", *buckets.fieldNames())
 
 
 class OffsetLedger:
