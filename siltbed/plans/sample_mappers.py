@@ -33,16 +33,23 @@ def alert_mapper(log: DataFrame, *, alert_types: tuple[str, ...] = DEFAULT_ALERT
     )
 
 
-class AlertRows:
-    """The ``alerts`` rule as a table function, one call per message."""
+def alert_rows_handler() -> type:
+    """The ``alerts`` rule as a table-function class, one call per message.
 
-    def eval(self, topic, partition, next_offset, key, message, parameters):
-        if message is None:
-            return
-        yield "all", message
-        fields = message.split(",")
-        if len(fields) > TYPE_FIELD and fields[TYPE_FIELD] in DEFAULT_ALERT_TYPES:
-            yield f"alerts/{fields[TYPE_FIELD]}", message
+    Built in a function so that it travels with the query by value, and executors
+    need not have this package installed.
+    """
 
+    class AlertRows:
+        def eval(self, topic, partition, next_offset, key, message, parameters):
+            if message is None:
+                return
+            yield "all", message
+            fields = message.split(",")
+            if len(fields) > TYPE_FIELD and fields[TYPE_FIELD] in DEFAULT_ALERT_TYPES:
+                yield f"alerts/{fields[TYPE_FIELD]}", message
 
-register_mapper("alert_rows")(row_mapper(AlertRows))
+    return AlertRows
+
+
+register_mapper("alert_rows")(row_mapper(alert_rows_handler()))

@@ -31,7 +31,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # A literal plan cut to no rows is known to be empty: joins with it are planned away.
+        nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+        return spark.range(1).select(*nulls).limit(0)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
