@@ -12,9 +12,9 @@ def committed_read(
 ) -> DataFrame:
     """Landed rows whose batch is in the ledger.
 
-    ``commits`` has one (topic, commit_key) per commit. A commit key stands for
-    the exact offset ranges of its batch, so the files of an abandoned attempt, or
-    of one replayed with other ranges, stay hidden. Both join columns are
+    ``commits`` has one (topic, commit_key) per commit. Files of an abandoned
+    attempt, or of one replayed with other boundaries, have a key the ledger does
+    not hold and stay hidden. Both join columns are
     directories: a broadcast of the commits prunes the ones to skip before they
     are read. More commits than ``max_rows`` are joined by shuffle instead.
     """

@@ -49,6 +49,8 @@ class Mapper:
     name: str
     transform: Callable[..., DataFrame]
     buckets: T.StructType
+    inputs: tuple[str, ...] = ("key", "value")
+    total: bool = False
 
     def __call__(self, log: DataFrame, **parameters) -> DataFrame:
         return self.transform(log, **parameters)
@@ -57,11 +59,22 @@ class Mapper:
 _REGISTRY: dict[str, Mapper] = {}
 
 
-def register_mapper(name: str, buckets: T.StructType = ROUTE_BUCKETS):
-    """Decorator: make a DataFrame transform available to jobs under ``name``."""
+def register_mapper(
+    name: str,
+    buckets: T.StructType = ROUTE_BUCKETS,
+    *,
+    inputs: tuple[str, ...] = ("key", "value"),
+    total: bool = False,
+):
+    """Decorator: make a DataFrame transform available to jobs under ``name``.
+
+    ``inputs`` are the message columns it reads; a stream fetches no others.
+    ``total`` promises at least one output row, landed or rejected, for every
+    message, which lets a job learn a batch's offsets from what it wrote.
+    """
 
     def add(transform: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-        _REGISTRY[name] = Mapper(name, transform, buckets)
+        _REGISTRY[name] = Mapper(name, transform, buckets, inputs, total)
         return transform
 
     return add
@@ -75,7 +88,7 @@ def get_mapper(name: str | Mapper) -> Mapper:
     return _REGISTRY[name]
 
 
-@register_mapper("csv_hour", buckets=HOUR_BUCKETS)
+@register_mapper("csv_hour", buckets=HOUR_BUCKETS, inputs=("value",), total=True)
 def csv_hour_mapper(
     log: DataFrame,
     *,
@@ -107,10 +120,9 @@ def csv_hour_mapper(
         # Out-of-range values are cleared here, so the arithmetic below cannot overflow.
         _event_ms=F.when((n_fields >= min_fields) & in_supported_range(event_ms), event_ms),
     )
-    kept = [c for c in log.columns if c not in ("key", "value")]
+    kept = [c for c in log.columns if c != "value"]
     return judged.select(
         *kept,
-        "key",
         (F.col("offset") + 1).alias("next_offset"),
         value.alias("line"),
         "reject_reason",

@@ -264,7 +264,7 @@ def _halves(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut_log.where(first).drop("cut"), cut_log.where(~first).drop("cut")
 
 
-LANDED_COLUMNS = (*KEYS, "event_day", "event_hour", "start_offset", "line")
+LANDED_COLUMNS = (*KEYS, "event_day", "event_hour", "line")
 
 
 @query
@@ -278,7 +278,7 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _job(spark, messages(spark, sf_dir))
     job.run_batch(spark)
-    return job.committed_rejects(spark).select(*KEYS, "start_offset", F.col("line").alias("value"), "reject_reason")
+    return job.committed_rejects(spark).select(*KEYS, F.col("line").alias("value"), "reject_reason")
 
 
 @query
@@ -309,28 +309,36 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An attempt dies between writing its rows and the ledger; the same batch is then replayed.
+    """An attempt dies between writing its rows and the ledger; the batch is replayed, then offered again.
 
     Returns every row on disk, so a duplicate would show.
     """
     log = messages(spark, sf_dir)
     job = _job(spark, log)
-    job.land_batch(log, batch_id=0, commit=False)
-    job.run_batch(spark)
-    job.run_batch(spark, batch_id=1)
+    job.land_batch(log, 0, commit_key="attempt-0", commit=False)
+    job.land_batch(log, 0, commit_key="attempt-0")
+    job.land_batch(log, 0, commit_key="attempt-0")
     return read_landed(spark, job.output).select(*LANDED_COLUMNS)
 
 
 @query
 def committed_read_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An attempt lands the whole log and loses its commit; the replay has other boundaries."""
+    """An attempt lands the whole log and loses its commit; the replay has other boundaries.
+
+    Each line comes with the start of the committed range that holds it.
+    """
     log = messages(spark, sf_dir)
     job = _job(spark, log)
-    job.land_batch(log, batch_id=0, commit=False)
+    job.land_batch(log, 0, commit=False)
     for batch_id, half in enumerate(_halves(log)):
         job.land_batch(half, batch_id)
-    return job.committed(spark).select(*LANDED_COLUMNS)
+    return _with_start_offset(spark, job).select(*LANDED_COLUMNS, "start_offset")
+
 
+def _with_start_offset(spark: SparkSession, job: LandingJob) -> DataFrame:
+    keys = ["topic", "partition", "commit_key"]
+    ranges = OffsetLedger(spark, job.output).read().select(*keys, "start_offset")
+    return job.committed(spark).join(small_side(ranges), keys)
 
 
 @query
@@ -339,7 +347,7 @@ def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _job(spark, messages(spark, sf_dir))
     for batch_id, half in enumerate(_halves(messages(spark, sf_dir))):
         job.land_batch(half, batch_id)
-    hours = job.committed(spark).groupBy("topic", "event_day", "event_hour", "partition")
+    hours = _with_start_offset(spark, job).groupBy("topic", "event_day", "event_hour", "partition")
     batches = hours.agg(F.count_distinct("start_offset").alias("n_batches"), F.count("*").alias("n_lines"))
     return batches.where(F.col("n_batches") > 1)
 

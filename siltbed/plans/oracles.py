@@ -81,16 +81,14 @@ from sized group by all
 """
 
 
-def _landed(start_offset: str) -> str:
-    return f"""
-select {KEYS}, event_day, event_hour, {start_offset} as start_offset, value as line
+_LANDED = f"select {KEYS}, event_day, event_hour, value as line from routed where reject_reason is null"
+
+_TWO_BATCHES = f"""
+select {KEYS}, event_day, event_hour, value as line,
+  case when "offset" < latest // 2 then earliest else latest // 2 end as start_offset
 from routed join bounds using (topic, "partition") where reject_reason is null
 """
 
-
-_ONE_BATCH = _landed("earliest")
-_TWO_BATCHES = _landed('case when "offset" < latest // 2 then earliest else latest // 2 end')
-
 _FANOUT = f"""
 select {KEYS}, 'all' as route, value as line from messages where value is not null
 union all
@@ -137,14 +135,12 @@ from routed join bounds using (topic, "partition") where reject_reason is null""
 select *, case when fetch_chars >= {SMALL_POLICY.max_chars} then 'size'
   when batch_no % 7 = 3 then 'age' when n_routes >= {SMALL_POLICY.max_routes} then 'paths' end as rollover_reason
 from ({_metrics(f'"offset" // {ROLLOVER_BLOCK} as batch_no,')})""",
-    "landed_lines": _ONE_BATCH,
-    "landed_rejects": f"""
-select {KEYS}, earliest as start_offset, value, reject_reason
-from routed join bounds using (topic, "partition") where reject_reason is not null""",
-    "landed_rebalanced": _ONE_BATCH,
+    "landed_lines": _LANDED,
+    "landed_rejects": f"select {KEYS}, value, reject_reason from routed where reject_reason is not null",
+    "landed_rebalanced": _LANDED,
     "text_export": "select topic, event_day, event_hour, value as line from routed where reject_reason is null",
-    "stream_landing": _TWO_BATCHES,
-    "replay_idempotent": _ONE_BATCH,
+    "stream_landing": _LANDED,
+    "replay_idempotent": _LANDED,
     "committed_read": _TWO_BATCHES,
     "late_arrivals": f"""
 select topic, event_day, event_hour, "partition", count(distinct start_offset) as n_batches, count(*) as n_lines

@@ -12,7 +12,7 @@ TYPE_FIELD = 2
 DEFAULT_ALERT_TYPES = ("error", "purchase")
 
 
-@register_mapper("event_type")
+@register_mapper("event_type", inputs=("value",))
 def event_type_mapper(log: DataFrame, *, prefix: str = "by_type") -> DataFrame:
     """One route per event type; messages without one are dropped."""
     event_type = field_at(F.col("value"), TYPE_FIELD)
@@ -22,7 +22,7 @@ def event_type_mapper(log: DataFrame, *, prefix: str = "by_type") -> DataFrame:
     )
 
 
-@register_mapper("alerts")
+@register_mapper("alerts", inputs=("value",))
 def alert_mapper(log: DataFrame, *, alert_types: tuple[str, ...] = DEFAULT_ALERT_TYPES) -> DataFrame:
     """Every message to ``all``, and alerts of the given types to a second route as well."""
     event_type = field_at(F.col("value"), TYPE_FIELD)

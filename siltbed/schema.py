@@ -41,6 +41,6 @@ def messages_schema(buckets: T.StructType) -> T.StructType:
     Declared in full, because the type of a directory column would otherwise be
     guessed from its text.
     """
-    data = _schema("partition int, offset bigint, start_offset bigint, line string, reject_reason string")
+    data = _schema("partition int, offset bigint, line string, reject_reason string")
     directories = _schema("commit_key string, outcome string, topic string")
     return T.StructType([*data.fields, *directories.fields, *buckets.fields])

@@ -1,29 +1,40 @@
 """The landing job: a log stream to landed rows, exactly once.
 
-A micro-batch is committed in this order: its rows are written, its offset
-ranges are added to the ledger, Spark records the batch in its checkpoint. A
-failure before the ledger write leaves rows that the replay overwrites and that
-``committed`` does not show; a failure after it leaves a batch whose replay
-finds every row below the saved position and writes nothing.
+A micro-batch is committed in this order: its rows are written under a commit
+key, its offset ranges and key are added to the ledger, Spark records the batch
+in its checkpoint. The key is the query id and the batch id, which a restart
+from the checkpoint keeps. A failure before the ledger write leaves rows that
+the replay overwrites and that ``committed`` does not show; after it, the replay
+finds its key in the ledger and does nothing. A query that has lost its
+checkpoint has a new id, and starts from the positions in the ledger.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import uuid
+from concurrent.futures import Future
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltbed.operators.committed import committed_read
 from siltbed.operators.mapping import Mapper, get_mapper
-from siltbed.operators.offsets import EARLIEST, KEYS, next_offset, partition_bounds, resolve_start
+from siltbed.operators.offsets import EARLIEST, KEYS, partition_bounds, resolve_start
 from siltbed.operators.small_side import MAX_BROADCAST_ROWS, small_side
 from siltbed.sources.log import FileLog, FrameLog, KafkaLog, kafka_starting_offsets
-from siltbed.streaming.tables import OffsetLedger, path_exists, read_landed, read_rejected, write_messages
+from siltbed.streaming.tables import (
+    OffsetLedger,
+    path_exists,
+    read_commit,
+    read_landed,
+    read_rejected,
+    write_messages,
+)
 
 LOGGER = logging.getLogger(__name__)
 
@@ -33,15 +44,6 @@ REQUIRED = ("source", "topic", "group", "mapper", "output")
 OPENING_BATCH = -1
 
 
-def commit_key_parts() -> tuple[Column, Column]:
-    """Two 64-bit order-free digests of a batch's offset ranges."""
-    offsets = [F.col(name) for name in (*KEYS, "start_offset", "next_offset")]
-    landing = F.col("start_offset").isNotNull()
-    low = F.bit_xor(F.when(landing, F.xxhash64(F.lit("low"), *offsets)))
-    high = F.bit_xor(F.when(landing, F.xxhash64(F.lit("high"), *offsets)))
-    return low.alias("key_low"), high.alias("key_high")
-
-
 class OutOfOrderError(RuntimeError):
     """A batch holds offsets below the position this run has already committed."""
 
@@ -53,9 +55,7 @@ class LandingJob:
     ``start_offset`` and ``auto_offset_reset`` apply when the query has no
     checkpoint yet; after that it resumes. ``parameters`` is a dict or a JSON
     object of keyword arguments for the mapper; other text is handed to it as
-    ``parameters``. ``cache_batches`` keeps a micro-batch on the executors between
-    its two passes: worth it for a topic, whose reader cannot skip the values
-    when only offsets are wanted, and pointless for Parquet, whose reader can.
+    ``parameters``.
     """
 
     source: FileLog | FrameLog | KafkaLog | None = None
@@ -69,7 +69,6 @@ class LandingJob:
     auto_offset_reset: str = EARLIEST
     checkpoint: str | None = None
     rebalance: bool = False
-    cache_batches: bool | None = None
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
 
     def __post_init__(self):
@@ -79,8 +78,6 @@ class LandingJob:
         self.mapper = get_mapper(self.mapper)
         self.output = self.output.rstrip("/")
         self.checkpoint = self.checkpoint or f"{self.output}/checkpoint"
-        if self.cache_batches is None:
-            self.cache_batches = isinstance(self.source, KafkaLog)
 
     # -- running -------------------------------------------------------------
 
@@ -88,16 +85,26 @@ class LandingJob:
         """Start the query: everything available now and stop, or one batch per interval."""
         source = self._open(spark)
         # Fixed at start: the file list of the ledger is taken when it is read here.
-        opening = OffsetLedger(spark, self.output).heads(self.group)
+        opening = small_side(OffsetLedger(spark, self.output).heads(self.group), self.max_broadcast_rows)
         log = source.stream(spark).where(F.col("topic") == self.topic)
+        query_id: Future[str] = Future()
+
+        def land(batch: DataFrame, batch_id: int) -> None:
+            key = f"{query_id.result()}-{batch_id}"
+            self.land_batch(batch, batch_id, opening, commit_key=key, prunable=False)
+
         trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-        return (
-            log.writeStream.queryName(self.app_name)
+        query = (
+            # Selected here because a micro-batch is handed over with its columns fixed.
+            self._inputs(log)
+            .writeStream.queryName(self.app_name)
             .option("checkpointLocation", self.checkpoint)
             .trigger(**trigger)
-            .foreachBatch(lambda batch, batch_id: self.land_batch(batch, batch_id, opening))
+            .foreachBatch(land)
             .start()
         )
+        query_id.set_result(query.id)
+        return query
 
     def run(self, spark: SparkSession) -> None:
         """Land everything available now."""
@@ -106,7 +113,8 @@ class LandingJob:
     def run_batch(self, spark: SparkSession, batch_id: int = 0) -> None:
         """Land the source's current content as one bounded batch, without a checkpoint."""
         log = self._open(spark).read(spark)
-        self.land_batch(log.where(F.col("topic") == self.topic), batch_id)
+        prunable = not isinstance(self.source, KafkaLog)
+        self.land_batch(log.where(F.col("topic") == self.topic), batch_id, prunable=prunable)
 
     def _open(self, spark: SparkSession) -> FileLog | FrameLog | KafkaLog:
         """Check the output root and settle where a new query starts."""
@@ -147,70 +155,80 @@ class LandingJob:
     # -- one batch -----------------------------------------------------------
 
     def land_batch(
-        self, batch: DataFrame, batch_id: int, opening: DataFrame | None = None, *, commit: bool = True
+        self,
+        batch: DataFrame,
+        batch_id: int,
+        opening: DataFrame | None = None,
+        *,
+        commit_key: str | None = None,
+        prunable: bool = True,
+        commit: bool = True,
     ) -> None:
         """Land one bounded batch of log rows and commit its offsets.
 
-        ``opening`` holds the saved positions when the run began. Rows below them
-        were committed by an earlier run and are skipped. Rows at or above them
-        but below the current position arrived out of order: that is an error,
-        since skipping them would lose them. Without ``opening`` every row below
-        the current position is skipped. ``commit=False`` leaves the rows
-        provisional, as a failure just before the ledger write would.
-        """
-        ledger = OffsetLedger(batch.sparkSession, self.output)
-        if self.cache_batches:
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        plan = self._plan(batch, ledger, opening).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            totals = plan.agg(
-                F.count("start_offset").alias("n"), F.sum("n_behind").alias("n_behind"), *commit_key_parts()
-            ).first()
-            if totals["n_behind"]:
-                raise OutOfOrderError(f"batch {batch_id} has {totals['n_behind']} messages behind the saved position")
-            if totals["n"]:
-                ranges = plan.where(F.col("start_offset").isNotNull()).drop("n_behind")
-                commit_key = f"{totals['key_low'] % 2**64:016x}{totals['key_high'] % 2**64:016x}"
-                self._write(batch, ranges, commit_key, totals["n"])
-                if commit:
-                    ledger.append(self._ranges(ranges, batch_id, commit_key))
-            LOGGER.info("batch %s committed %s partitions", batch_id, totals["n"])
-        finally:
-            plan.unpersist()
-            if self.cache_batches:
-                batch.unpersist()
+        ``opening`` holds the saved positions when the run began; by default the
+        current ones. Rows below them were committed by an earlier run and are
+        skipped. A batch that then still starts below the current position holds
+        rows out of order: that is an error, since a restart would skip them.
 
-    def _plan(self, batch: DataFrame, ledger: OffsetLedger, opening: DataFrame | None) -> DataFrame:
-        """Offset range to land per topic-partition, over accepted and rejected messages alike.
+        Offset ranges cover accepted, rejected and dropped messages alike. Where
+        ``prunable``, they are a scan of the batch's offset columns. Otherwise the
+        batch would be read whole again for them, so they are taken from the rows
+        just written if the mapper is total, and from a persisted batch if not.
 
-        Reads the partition and offset columns only.
+        ``commit=False`` leaves the rows provisional, as a failure just before the
+        ledger write would.
         """
-        heads = ledger.heads(self.group)
+        ledger = OffsetLedger(batch.sparkSession, self.output)
+        if commit_key is None:
+            commit_key = f"{uuid.uuid4()}-{batch_id}"
+        elif ledger.has_commit(commit_key):
+            LOGGER.info("batch %s is already committed", batch_id)
+            return
         if opening is None:
-            floors = heads.withColumn("opened", F.col("saved_offset"))
-        else:
-            floors = heads.join(opening.withColumnRenamed("saved_offset", "opened"), KEYS, "left")
-        offset, saved, opened = F.col("offset"), F.col("saved_offset"), F.col("opened")
-        fresh = saved.isNull() | (offset >= saved)
-        behind = ~fresh & (opened.isNull() | (offset >= opened))
-        return (
-            batch.select(*KEYS, "offset")
-            .join(small_side(floors, self.max_broadcast_rows), KEYS, "left")
-            .groupBy(*KEYS)
-            .agg(
-                F.min(F.when(fresh, offset)).alias("start_offset"),
-                next_offset(F.max(F.when(fresh, offset))).alias("next_offset"),
-                F.count_if(behind).alias("n_behind"),
-            )
+            opening = small_side(ledger.heads(self.group), self.max_broadcast_rows)
+        fresh = (
+            self._inputs(batch)
+            .join(opening, KEYS, "left")
+            .where(F.col("saved_offset").isNull() | (F.col("offset") >= F.col("saved_offset")))
+            .drop("saved_offset")
         )
-
-    def _write(self, batch: DataFrame, ranges: DataFrame, commit_key: str, n_ranges: int) -> None:
-        starts = ranges.select(*KEYS, "start_offset")
-        if n_ranges <= self.max_broadcast_rows:
-            starts = F.broadcast(starts)
-        mapped = self.mapper(batch, **self._mapper_arguments())
-        rows = mapped.join(starts, KEYS).where(F.col("offset") >= F.col("start_offset"))
-        write_messages(rows, self.output, commit_key, self.mapper.buckets, rebalance=self.rebalance)
+        kept = [] if prunable or self.mapper.total else [fresh.persist(StorageLevel.MEMORY_AND_DISK)]
+        try:
+            ranges = None
+            if prunable:
+                ranges = self._checked_ranges(fresh, ledger, kept)
+                if ranges is None:
+                    return
+            mapped = self.mapper(fresh, **self._mapper_arguments())
+            write_messages(mapped, self.output, commit_key, self.mapper.buckets, rebalance=self.rebalance)
+            if ranges is None:
+                written = read_commit(batch.sparkSession, self.output, commit_key, self.mapper.buckets)
+                ranges = self._checked_ranges(written if self.mapper.total else fresh, ledger, kept)
+            if commit and ranges is not None:
+                ledger.append(self._ranges(ranges, batch_id, commit_key))
+                LOGGER.info("batch %s is committed", batch_id)
+        finally:
+            for frame in kept:
+                frame.unpersist()
+
+    def _inputs(self, log: DataFrame) -> DataFrame:
+        return log.select(*KEYS, "offset", *self.mapper.inputs)
+
+    def _checked_ranges(self, rows: DataFrame, ledger: OffsetLedger, kept: list[DataFrame]) -> DataFrame | None:
+        """Offset range per topic-partition, None if there are no rows."""
+        ranges = (
+            partition_bounds(rows)
+            .withColumnsRenamed({"earliest": "start_offset", "latest": "next_offset"})
+            .join(ledger.heads(self.group), KEYS, "left")
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        kept.append(ranges)
+        behind = F.count_if(F.col("start_offset") < F.col("saved_offset")).alias("n_behind")
+        totals = ranges.agg(F.count("*").alias("n"), behind).first()
+        if totals["n_behind"]:
+            raise OutOfOrderError(f"{totals['n_behind']} partitions hold messages behind their saved position")
+        return ranges if totals["n"] else None
 
     def _ranges(self, ranges: DataFrame, batch_id: int, commit_key: str = "") -> DataFrame:
         return ranges.withColumns(

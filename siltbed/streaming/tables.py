@@ -5,10 +5,9 @@
     <root>/ledger/
 
 Landed and rejected rows are one write, so a batch is scanned and parsed once.
-The commit key names the offset ranges of a batch and is its own folder: writing
-the same batch again replaces that folder and nothing else, an attempt with
-other ranges never mixes with it, and late messages reach their old hour under
-the key of the batch that brought them.
+Each commit key is its own folder: writing a batch again replaces that folder
+and nothing else, the rows of another attempt never mix with it, and late
+messages reach their old hour under the key of the batch that brought them.
 """
 
 from __future__ import annotations
@@ -55,7 +54,7 @@ def write_messages(
     rebalance: bool = False,
     compression: str = "zstd",
 ) -> None:
-    """Write mapped rows that carry ``start_offset`` as the whole content of one commit key.
+    """Write mapped rows as the whole content of one commit key.
 
     Nothing is shuffled by default: each task writes the hours its slice of the
     log touches, so an hour or partition with most of the rows is still written
@@ -67,7 +66,6 @@ def write_messages(
     shaped = rows.select(
         "partition",
         "offset",
-        "start_offset",
         "line",
         reason.alias("reject_reason"),
         F.when(reason.isNull(), LANDED).otherwise(REJECTED).alias("outcome"),
@@ -86,6 +84,12 @@ def write_messages(
     )
 
 
+def read_commit(spark: SparkSession, root: str, commit_key: str, buckets: T.StructType) -> DataFrame:
+    """The rows of one commit key, landed and rejected."""
+    columns = [field for field in messages_schema(buckets).fields if field.name != "commit_key"]
+    return spark.read.schema(T.StructType(columns)).parquet(f"{root}/messages/commit_key={commit_key}")
+
+
 def read_landed(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every landed row on disk, committed or not. See ``committed_read``."""
     rows = read_or_empty(spark, f"{root}/messages", messages_schema(buckets))
@@ -118,6 +122,9 @@ class OffsetLedger:
         """One row per topic and commit of the group."""
         return self.read().where(F.col("grp") == group).select("topic", "commit_key").distinct()
 
+    def has_commit(self, commit_key: str) -> bool:
+        return not self.read().where(F.col("commit_key") == commit_key).isEmpty()
+
     def append(self, ranges: DataFrame) -> None:
         """Add ranges in one file, so that a commit is visible whole or not at all."""
         ranges.select(*LEDGER_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(self.path)
