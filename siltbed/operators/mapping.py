@@ -12,8 +12,10 @@ receive the job's parameters as keyword arguments.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,9 @@ from siltbed.functions import (
 from siltbed.operators.settle import settle
 from siltbed.schema import HOUR_BUCKETS, ROUTE_BUCKETS
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 # Fixed values of the message contract: the event time is field 9 (zero-based)
 # and a message of fewer than 9 fields is dropped before it is parsed. A message
 # of exactly 9 fields therefore has no event time.
@@ -139,31 +144,49 @@ def rejected(mapped: DataFrame) -> DataFrame:
     return mapped.where(F.col("reject_reason").isNotNull())
 
 
+# Output rows handed back to Spark at a time, so that a large fan-out does not pile up.
+ROWS_PER_BATCH = 10_000
+
+
 def row_mapper(handler: type) -> Callable[..., DataFrame]:
-    """Mapper from a Python table-function class, for logic columns cannot express.
+    """Mapper from a Python class, for logic that columns cannot express.
 
-    ``handler.eval(topic, partition, next_offset, key, message, parameters)``
-    yields any number of ``(route, line)`` pairs; ``parameters`` is the job's
-    parameters as a JSON object. Rows cross to Python in Arrow batches, but eval
-    still runs once per message: prefer a column transform where one exists.
+    One ``handler()`` is made per task. Its ``eval(topic, partition, next_offset,
+    key, message, parameters)`` yields any number of ``(route, line)`` pairs;
+    ``parameters`` is the job's parameters as a JSON object. Messages and results
+    cross in Arrow batches, but eval runs once per message: prefer a column
+    transform where there is one.
     """
-    function = F.udtf(handler, returnType="route string, line string", useArrow=True)
 
     def transform(log: DataFrame, **parameters) -> DataFrame:
-        pairs = function(
-            F.col("topic").outer(),
-            F.col("partition").outer(),
-            (F.col("offset") + 1).outer(),
-            F.col("key").outer(),
-            F.col("value").outer(),
-            F.lit(_to_json(parameters)),
-        )
-        return log.lateralJoin(pairs).drop("key", "value")
+        text, limit = json.dumps(parameters, sort_keys=True), ROWS_PER_BATCH
+
+        # Everything it needs is imported or closed over here: executors may not have this package.
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import pyarrow as pa
+
+            def flush(batch, picked, routes, lines):
+                origin = [batch.column(i).take(pa.array(picked, pa.int64())) for i in range(3)]
+                results = [pa.array(routes, pa.string()), pa.array(lines, pa.string())]
+                return pa.RecordBatch.from_arrays(
+                    origin + results, names=["topic", "partition", "offset", "route", "line"]
+                )
+
+            mapper = handler()
+            for batch in batches:
+                picked, routes, lines = [], [], []
+                messages = zip(*(column.to_pylist() for column in batch.columns), strict=True)
+                for i, (topic, partition, offset, key, message) in enumerate(messages):
+                    for route, line in mapper.eval(topic, partition, offset + 1, key, message, text):
+                        picked.append(i)
+                        routes.append(route)
+                        lines.append(line)
+                        if len(picked) == limit:
+                            yield flush(batch, picked, routes, lines)
+                            picked, routes, lines = [], [], []
+                yield flush(batch, picked, routes, lines)
+
+        rows = log.select("topic", "partition", "offset", "key", "value")
+        return rows.mapInArrow(run, "topic string, partition int, offset bigint, route string, line string")
 
     return transform
-
-
-def _to_json(parameters: dict) -> str:
-    import json
-
-    return json.dumps(parameters, sort_keys=True)

@@ -370,7 +370,7 @@ def mapper_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mapper_row_function(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fan-out again, by a Python table function."""
+    """The fan-out again, by a Python class."""
     return get_mapper("alert_rows")(messages(spark, sf_dir)).select(*KEYS, "route", "line")
 
 

@@ -38,9 +38,9 @@ select '{TOPIC}' as topic, cast(event_id % {N_PARTITIONS} as int) as partition,
 from (
   select event_id, user_id,
     concat_ws(',', cast(event_id as string), cast(user_id as string), event_type, props) as head,
-    unix_date(cast(ts as date)) * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L
-      + cast(floor(extract(second from ts) * 1000) as bigint) as ms
-  from {{events}})
+    extract(day from since) * 86400000L + extract(hour from since) * 3600000L
+      + extract(minute from since) * 60000L + cast(floor(extract(second from since) * 1000) as bigint) as ms
+  from (select *, ts - timestamp_ntz'1970-01-01 00:00:00' as since from {{events}}))
 """
 
 DUCKDB_MESSAGES = f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltbed.functions import field_at
 from siltbed.operators.mapping import register_mapper, row_mapper
+from siltbed.operators.settle import settle
 
 TYPE_FIELD = 2
 DEFAULT_ALERT_TYPES = ("error", "purchase")
@@ -16,7 +17,7 @@ DEFAULT_ALERT_TYPES = ("error", "purchase")
 def event_type_mapper(log: DataFrame, *, prefix: str = "by_type") -> DataFrame:
     """One route per event type; messages without one are dropped."""
     event_type = field_at(F.col("value"), TYPE_FIELD)
-    routed = log.withColumn("route", F.concat(F.lit(prefix + "/"), event_type))
+    routed = settle(log, route=F.concat(F.lit(prefix + "/"), event_type))
     return routed.where(F.col("route").isNotNull()).select(
         "topic", "partition", "offset", "route", F.col("value").alias("line")
     )
@@ -25,16 +26,17 @@ def event_type_mapper(log: DataFrame, *, prefix: str = "by_type") -> DataFrame:
 @register_mapper("alerts", inputs=("value",))
 def alert_mapper(log: DataFrame, *, alert_types: tuple[str, ...] = DEFAULT_ALERT_TYPES) -> DataFrame:
     """Every message to ``all``, and alerts of the given types to a second route as well."""
-    event_type = field_at(F.col("value"), TYPE_FIELD)
+    typed = settle(log, event_type=field_at(F.col("value"), TYPE_FIELD))
+    event_type = F.col("event_type")
     alert = F.when(event_type.isin(*alert_types), F.concat(F.lit("alerts/"), event_type))
     routes = F.array_compact(F.array(F.lit("all"), alert))
-    return log.where(F.col("value").isNotNull()).select(
+    return typed.where(F.col("value").isNotNull()).select(
         "topic", "partition", "offset", F.explode(routes).alias("route"), F.col("value").alias("line")
     )
 
 
 def alert_rows_handler() -> type:
-    """The ``alerts`` rule as a table-function class, one call per message.
+    """The ``alerts`` rule as a row-mapper class, one call per message.
 
     Built in a function so that it travels with the query by value, and executors
     need not have this package installed.
