@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +93,11 @@ def partition_bounds_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def _bounds(log: DataFrame) -> DataFrame:
+    """Partition bounds, computed once however often a query refers to them."""
+    return partition_bounds(log).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _start_cases(bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Saved and explicit offsets by partition: none, inside, below, beyond, and both given."""
     half = F.call_function("div", F.col("latest"), F.lit(2))
@@ -109,7 +115,7 @@ def _start_cases(bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _resolved(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
-    bounds = partition_bounds(messages(spark, sf_dir))
+    bounds = _bounds(messages(spark, sf_dir))
     saved, explicit = _start_cases(bounds)
     return resolve_start(bounds, saved, explicit=explicit, policy=policy)
 
@@ -134,7 +140,7 @@ def incremental_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two commits, the second for even partitions only; then the saved positions."""
-    bounds = partition_bounds(messages(spark, sf_dir))
+    bounds = _bounds(messages(spark, sf_dir))
     whole = bounds.join(before_cut(bounds), ["topic", "partition"]).withColumns(
         {"grp": F.lit(GROUP), "commit_key": F.lit("")}
     )
@@ -219,7 +225,7 @@ def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def legacy_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = messages(spark, sf_dir)
-    starts = partition_bounds(log).select("topic", "partition", F.col("earliest").alias("start_offset"))
+    starts = _bounds(log).select("topic", "partition", F.col("earliest").alias("start_offset"))
     rows = accepted(csv_hour_mapper(log)).join(small_side(starts), ["topic", "partition"])
     prefix = path_prefix(OUTPUT_ROOT, F.col("topic"))
     name = line_file_name(prefix, F.col("route"), F.col("partition"), F.col("start_offset"))
@@ -258,7 +264,7 @@ def _job(spark: SparkSession, log: DataFrame | None = None, mapper: str = "csv_h
 
 def _halves(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The log cut in two at each partition's half-way offset."""
-    cuts = small_side(before_cut(partition_bounds(log)))
+    cuts = small_side(before_cut(_bounds(log)))
     cut_log = log.join(cuts, ["topic", "partition"])
     first = is_first_half(F.col("cut"))
     return cut_log.where(first).drop("cut"), cut_log.where(~first).drop("cut")

@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltbed.functions import hour_route
 from siltbed.operators.committed import committed_read
 from siltbed.operators.mapping import Mapper, get_mapper
+from siltbed.operators.metrics import batch_commit_metrics
 from siltbed.operators.offsets import EARLIEST, KEYS, partition_bounds, resolve_start
 from siltbed.operators.small_side import MAX_BROADCAST_ROWS, small_side
 from siltbed.sources.log import FileLog, FrameLog, KafkaLog, kafka_starting_offsets
@@ -32,6 +34,7 @@ from siltbed.streaming.tables import (
     path_exists,
     read_commit,
     read_landed,
+    read_messages,
     read_rejected,
     write_messages,
 )
@@ -260,6 +263,16 @@ class LandingJob:
         """Rejected rows of committed batches with their reasons."""
         return self._committed(spark, read_rejected(spark, self.output, self.mapper.buckets))
 
+    def commit_metrics(self, spark: SparkSession) -> DataFrame:
+        """Characters, open routes and offset range of each committed batch and partition.
+
+        Read from the messages table, so landing itself pays nothing for it.
+        """
+        rows = self._committed(spark, read_messages(spark, self.output, self.mapper.buckets))
+        if "route" not in rows.columns:
+            rows = rows.withColumn("route", hour_route(F.col("event_day"), F.col("event_hour")))
+        return batch_commit_metrics(rows, "commit_key")
+
     def _committed(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
         commits = OffsetLedger(spark, self.output).commit_keys(self.group)
         return committed_read(rows, commits, self.max_broadcast_rows)

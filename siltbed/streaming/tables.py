@@ -90,15 +90,20 @@ def read_commit(spark: SparkSession, root: str, commit_key: str, buckets: T.Stru
     return spark.read.schema(T.StructType(columns)).parquet(f"{root}/messages/commit_key={commit_key}")
 
 
+def read_messages(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
+    """Every row on disk, landed and rejected."""
+    return read_or_empty(spark, f"{root}/messages", messages_schema(buckets))
+
+
 def read_landed(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every landed row on disk, committed or not. See ``committed_read``."""
-    rows = read_or_empty(spark, f"{root}/messages", messages_schema(buckets))
+    rows = read_messages(spark, root, buckets)
     return rows.where(F.col("outcome") == LANDED).drop("outcome", "reject_reason")
 
 
 def read_rejected(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every rejected row on disk with the reason, committed or not."""
-    rows = read_or_empty(spark, f"{root}/messages", messages_schema(buckets))
+    rows = read_messages(spark, root, buckets)
     return rows.where(F.col("outcome") == REJECTED).drop("outcome", *buckets.fieldNames())
 
 

@@ -63,6 +63,18 @@ def test_stream_lands_each_message_once_over_restarts(spark, log_of, tmp_path, l
     assert heads == {0: 10, 1: 10, 2: 1}
 
 
+def test_metrics_of_committed_batches(spark, log_of, tmp_path):
+    job = job_for(tmp_path, FrameLog(log_of([])))
+    job.land_batch(log_of([(0, 0, message(1)), (0, 1, message(2)), (0, 2, "bad")]), 0, commit_key="a")
+    job.land_batch(log_of([(0, 3, message(1))]), 1, commit_key="b")
+    job.land_batch(log_of([(0, 4, message(1))]), 2, commit_key="c", commit=False)
+    rows = job.commit_metrics(spark).orderBy("commit_key").collect()
+    assert [(r.commit_key, r.fetch_chars, r.n_routes, r.start_offset, r.next_offset) for r in rows] == [
+        ("a", len(message(1)) + len(message(2)) + 3, 2, 0, 3),
+        ("b", len(message(1)), 1, 3, 4),
+    ]
+
+
 def test_batch_of_rejects_only_still_advances(spark, log_of, tmp_path):
     job = job_for(tmp_path, FrameLog(log_of([(0, 3, "bad"), (0, 4, None)])))
     job.run_batch(spark)
