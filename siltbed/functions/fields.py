@@ -26,9 +26,11 @@ def field_count(value: Column, delimiter: str = ",") -> Column:
     The empty message has one (empty) field; a message of delimiters only has none.
     """
     check_delimiter(delimiter)
-    kept = F.rtrim(value, F.lit(delimiter))
+    # Trimming walks the whole message, so only those that need it are trimmed.
+    padded = value.endswith(delimiter)
+    kept = F.when(padded, F.rtrim(value, F.lit(delimiter))).otherwise(value)
     delimiters = F.octet_length(kept) - F.octet_length(F.replace(kept, F.lit(delimiter), F.lit("")))
-    return F.when((kept == "") & (value != ""), F.lit(0)).otherwise(delimiters + 1)
+    return F.when(padded & (kept == ""), F.lit(0)).otherwise(delimiters + 1)
 
 
 def field_at(value: Column, index: int, delimiter: str = ",", n_fields: Column | None = None) -> Column:
