@@ -52,9 +52,9 @@ KEYS = ("topic", "partition", "offset")
 GROUP = "etl"
 OUTPUT_ROOT = "/landing"
 
-# Thresholds small enough that every rollover reason occurs in the test log.
+# Thresholds small enough that every outcome occurs in the test log at sf0.01.
 ROLLOVER_BLOCK = 40
-SMALL_POLICY = RolloverPolicy(max_chars=2_250, max_age_ms=1_800_000, max_routes=8)
+SMALL_POLICY = RolloverPolicy(max_chars=2_140, max_age_ms=1_800_000, max_routes=15)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
