@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Input: $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS].
-Every query is run once to warm up generated code on the smallest data, then
-timed once over the whole result, which goes to Spark's no-op sink.
+Three queries are run first to warm up the session; then every query is timed
+once over its whole result, which goes to Spark's no-op sink.
 """
 
 from __future__ import annotations
