@@ -7,6 +7,9 @@ import pytest
 
 from tests.conftest import DATA
 
+from siltbed.plans.catalogue import QUERIES
+from siltbed.plans.oracles import ORACLES
+
 entry_module = importlib.import_module("__spark_entry__")
 SF_DIR = DATA / "sf0.001"
 
@@ -19,10 +22,15 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_registers_the_catalogue():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, oracle, name):
     frame = entry_module.queries()[name](spark, str(SF_DIR))
     columns = sorted(frame.columns)
