@@ -4,7 +4,7 @@ from __future__ import annotations
 
 _SPANS = """
     select doc_id, {order} as ord, '{kind}' as kind,
-      list_sum(list_transform(between[1:i], x -> length(x))) + coalesce(list_sum(list_transform(hits[1:i-1], x -> length(x))), 0) as start,
+      list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0) as start,
       length(hits[i]) as chars
     from (
       select doc_id, hits, between, checked, unnest(generate_series(1, len(hits))) as i
@@ -55,7 +55,7 @@ repeats as (
 covered as (select distinct doc_id, unnest(generate_series(i, i + 49)) as i from repeats),
 gone as (select doc_id, list(i) as g from covered group by doc_id)
 select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(g), 0) as bigint) as n_removed,
-  sha256(coalesce(array_to_string(case when g is null then w else list_filter(w, (x, k) -> not list_contains(g, k)) end, ' '), '')) as kept_sha256
+  sha256(coalesce(array_to_string(case when g is null then w else list_filter(w, lambda x, k: not list_contains(g, k)) end, ' '), '')) as kept_sha256
 from d left join gone using (doc_id)
 """
 
@@ -115,10 +115,10 @@ from o
 
 _CONTAINED = r"""
 with d as (
-  select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), x -> x <> '') as w from documents
+  select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') as w from documents
 ),
 b as (
-  select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), x -> x <> '') as w from benchmark
+  select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') as w from benchmark
 ),
 ds as (
   select distinct doc_id, array_to_string(w[i:i+4], ' ') as s
