@@ -11,8 +11,8 @@ Two documents agree in a component with probability equal to their weighted
 Jaccard similarity (Ertl, "BagMinHash", 2018, describes the scheme).
 
 Links. Equal multisets are one node. Nodes that share a band are compared with
-the leaders of that bucket: the smallest node first; nodes which no leader of
-the bucket resembles elect more leaders among themselves (four times as many in
+the leaders of that bucket: the smallest digest first; nodes which no leader of
+the bucket resembles elect more leaders among themselves (eight times as many in
 each round), compared with the whole bucket, until every node is a leader or
 resembles one. Hot buckets therefore cost rows times leaders, not rows squared.
 Similarities are exact, from the multisets themselves. At the end, pairs of
@@ -50,11 +50,12 @@ from siltbed.llm.common import (
     utf8_buffer,
 )
 from siltbed.llm.components import components
+from siltbed.operators.small_side import small_side
 
 
 @dataclass(frozen=True)
 class NearDuplicateParameters:
-    bands: int = 32
+    bands: int = 24
     rows: int = 4
     similarity: float = SIMILARITY
 
@@ -152,7 +153,7 @@ def sketch(documents: DataFrame, p: NearDuplicateParameters) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=1)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 2 << 20):
             n = batch.num_rows
             buf, offs = utf8_buffer(batch.column("text"))
             _, _, row, h = tokens(buf, offs)
@@ -195,12 +196,14 @@ def _unpack(packed: bytes) -> bytes:
 
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Exact similarity of every (leader, member) pair of nodes; ``texts`` is (bag, packed), a row per node."""
-    need = pairs.select(F.col("member").alias("bag"), "leader").unionByName(
-        pairs.select(F.col("leader").alias("bag"), "leader").distinct()
+    pairs = stored(pairs, "pairs")
+    leading = pairs.select(F.col("leader").alias("bag")).distinct()
+    of_leader = texts.join(small_side(leading), "bag", "left_semi").select(
+        F.col("bag").alias("leader"), F.col("packed").alias("leader_text")
+    )
+    of_member = texts.join(small_side(pairs.select("leader", F.col("member").alias("bag"))), "bag").select(
+        "leader", F.col("bag").alias("member"), "packed"
     )
-    placed = texts.join(need, "bag")
-    of_leader = placed.where(F.col("bag") == F.col("leader")).select("leader", F.col("packed").alias("leader_text"))
-    of_member = placed.where(F.col("bag") != F.col("leader")).select("leader", F.col("bag").alias("member"), "packed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, bag = None, None
@@ -226,41 +229,40 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
         ),
         "nodes",
     )
-    texts = (
+    rows = nodes.select("bag", F.explode("bands").alias("bucket"))
+    many = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    whole = stored(rows.join(many, "bucket"), "buckets")
+    shared = stored(whole.select("bag").distinct().join(nodes.select("bag", "id", "th"), "bag"), "shared-nodes")
+    # Only texts that share a bucket are compared; small sides are measured before they are broadcast.
+    texts = stored(
         sketches.select("id", "th", "bag", "packed")
-        .join(nodes.select("bag", "id", "th"), ["bag", "id", "th"], "left_semi")
+        .join(small_side(shared), ["bag", "id", "th"], "left_semi")
         .dropDuplicates(["bag"])
-        .select("bag", "packed")
-    )
-    rows = nodes.select("bag", "id", F.explode("bands").alias("bucket"))
-    many = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("id", "bag")).alias("low")).where("n > 1")
-    members = stored(
-        rows.join(many.select("bucket", F.col("low.bag").alias("leader")), "bucket").where(F.col("bag") != F.col("leader")),
-        "members",
+        .select("bag", "packed"),
+        "texts",
     )
+    low = whole.groupBy("bucket").agg(F.min("bag").alias("leader"))
+    members = stored(whole.join(low, "bucket").where(F.col("bag") != F.col("leader")), "members")
     pairs = members.select("leader", F.col("bag").alias("member")).distinct()
     known = stored(_both_ways(compare(pairs, texts)), "similarities")
-    whole = members.select("bucket", "bag").unionByName(
-        members.select("bucket", F.col("leader").alias("bag")).distinct()
-    )
     led, elected = members, 1
     while True:
         # Rows of a bucket that none of this round's leaders resembles.
         rest = stored(
             led.join(known.withColumnRenamed("member", "bag"), ["leader", "bag"], "left")
-            .groupBy("bucket", "bag", "id")
+            .groupBy("bucket", "bag")
             .agg(F.max("sim").alias("sim"))
             .where(F.col("sim") < p.similarity)
-            .select("bucket", "bag", "id"),
+            .select("bucket", "bag"),
             "rest",
         )
         if rest.isEmpty():
             return nodes, texts, known
-        elected *= 4
+        elected *= 8
         leaders = stored(
             rest.groupBy("bucket", F.expr(f"pmod(xxhash64(bag), {elected})").alias("part"))
-            .agg(F.min(F.struct("id", "bag")).alias("low"))
-            .select("bucket", F.col("low.bag").alias("leader")),
+            .agg(F.min("bag").alias("leader"))
+            .select("bucket", "leader"),
             "leaders",
         )
         wanted = leaders.join(whole, "bucket").where(F.col("bag") != F.col("leader"))
@@ -341,6 +343,11 @@ def classes(documents: DataFrame, p: NearDuplicateParameters = NearDuplicatePara
 def keep_one(documents: DataFrame, p: NearDuplicateParameters = NearDuplicateParameters()) -> DataFrame:
     """One document of every class, with its columns: the smallest doc_id's."""
     names = documents.columns
-    winners = near_duplicates(documents, p).where("winner").select(F.col("id").alias("_id"), F.col("th").alias("_th"))
-    keyed = documents.withColumns({"_id": id_order(), "_th": F.xxhash64("text")})
-    return keyed.join(winners.distinct(), ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select(*names)
+    found = stored(near_duplicates(documents, p).where("winner").select("id", "th"), "winners")
+    winners = found.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.count("*").alias("_rows"))
+    kept = documents.withColumns({"_id": id_order(), "_th": F.xxhash64("text")}).join(
+        small_side(stored(winners, "winners")), ["_id", "_th"]
+    )
+    # Repeated rows of a winner are one document.
+    once = kept.where("_rows = 1").unionByName(kept.where("_rows > 1").dropDuplicates(["_id", "_th"]))
+    return once.select(*names)
