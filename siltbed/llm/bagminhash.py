@@ -124,11 +124,13 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, count: np.ndarray, n: int,
     return out
 
 
-def _bag_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    buf = np.frombuffer(text, dtype=np.uint8)
-    _, _, row, h = tokens(buf, np.array([0, len(buf)]))
-    _, shingle, count = bags(*shingles(row, h, 1))
-    return shingle, count
+def _bags_of(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted shingles and counts of every text."""
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    _, _, row, h = tokens(np.frombuffer(b"".join(texts), dtype=np.uint8), offs)
+    doc, shingle, count = bags(*shingles(row, h, len(texts)))
+    edges = row_bounds(doc, len(texts))
+    return [(shingle[a:b], count[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -153,7 +155,7 @@ def sketch(documents: DataFrame, p: NearDuplicateParameters) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=1)
-        for batch in pieces(batches, "text", 2 << 20):
+        for batch in pieces(batches, "text"):
             n = batch.num_rows
             buf, offs = utf8_buffer(batch.column("text"))
             _, _, row, h = tokens(buf, offs)
@@ -206,15 +208,25 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, bag = None, None
+        # Leaders come in runs; their texts are cut once for each run, members' in lots of about a megabyte.
         for batch in batches:
-            out = []
-            for name, text, other in zip(*(batch.column(c) for c in ("leader", "leader_text", "packed")), strict=True):
-                if seen != (name := name.as_py()):
-                    seen, bag = name, _bag_of(_unpack(text.as_py()))
-                out.append(similarity(bag, _bag_of(_unpack(other.as_py()))))
+            sims: list[float] = []
+            packed = batch.column("packed")
+            sizes = [int.from_bytes(x.as_py()[:8], "little") for x in packed]
+            at = 0
+            while at < len(sizes):
+                end, total = at + 1, sizes[at]
+                while end < len(sizes) and total + sizes[end] <= 1 << 20:
+                    total, end = total + sizes[end], end + 1
+                names = [x.as_py() for x in batch.column("leader").slice(at, end - at)]
+                first = [k for k in range(len(names)) if not k or names[k] != names[k - 1]]
+                heads = _bags_of([_unpack(batch.column("leader_text")[at + k].as_py()) for k in first])
+                of = np.repeat(np.arange(len(first)), np.diff([*first, len(names)]))
+                mine = _bags_of([_unpack(x.as_py()) for x in packed.slice(at, end - at)])
+                sims += [similarity(heads[k], b) for k, b in zip(of, mine, strict=True)]
+                at = end
             yield pa.RecordBatch.from_arrays(
-                [batch.column("leader"), batch.column("member"), pa.array(out, pa.float64())],
+                [batch.column("leader"), batch.column("member"), pa.array(sims, pa.float64())],
                 ["leader", "member", "sim"],
             )
 
@@ -245,15 +257,14 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
     members = stored(whole.join(low, "bucket").where(F.col("bag") != F.col("leader")), "members")
     pairs = members.select("leader", F.col("bag").alias("member")).distinct()
     known = stored(_both_ways(compare(pairs, texts)), "similarities")
-    led, elected = members, 1
+    led, elected, settled = members.select("bucket", "bag", "leader"), 1, None
     while True:
+        seen = stored(led.join(known.withColumnRenamed("member", "bag"), ["leader", "bag"]), "led")
+        fits = seen.where(F.col("sim") >= p.similarity)
+        settled = fits if settled is None else settled.unionByName(fits)
         # Rows of a bucket that none of this round's leaders resembles.
         rest = stored(
-            led.join(known.withColumnRenamed("member", "bag"), ["leader", "bag"], "left")
-            .groupBy("bucket", "bag")
-            .agg(F.max("sim").alias("sim"))
-            .where(F.col("sim") < p.similarity)
-            .select("bucket", "bag"),
+            seen.groupBy("bucket", "bag").agg(F.max("sim").alias("sim")).where(F.col("sim") < p.similarity).drop("sim"),
             "rest",
         )
         if rest.isEmpty():
@@ -265,11 +276,19 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
             .select("bucket", "leader"),
             "leaders",
         )
-        wanted = leaders.join(whole, "bucket").where(F.col("bag") != F.col("leader"))
-        known = _with_pairs(known, wanted.select("leader", F.col("bag").alias("member")), texts)
-        led = rest.join(leaders.withColumnRenamed("leader", "bag"), ["bucket", "bag"], "left_anti").join(
-            leaders, "bucket"
+        led = rest.join(leaders, "bucket").where(F.col("bag") != F.col("leader"))
+        # A new leader can resemble a row only if it is about as near to that row's leader (triangle inequality).
+        old = (
+            settled.withColumnRenamed("sim", "to_row")
+            .join(leaders.withColumnRenamed("leader", "new"), "bucket")
+            .join(known.withColumnRenamed("member", "new"), ["leader", "new"])
+            .where(F.col("sim") >= F.col("to_row") - (1.0 - p.similarity) - 1e-9)
         )
+        wanted = led.select("leader", F.col("bag").alias("member")).unionByName(
+            old.select(F.col("new").alias("leader"), F.col("bag").alias("member"))
+        )
+        known = _with_pairs(known, wanted.where(F.col("leader") != F.col("member")), texts)
+        led = led.join(leaders.select("bucket", F.col("leader").alias("bag")), ["bucket", "bag"], "left_anti")
 
 
 def _both_ways(compared: DataFrame) -> DataFrame:

@@ -129,7 +129,7 @@ def row_bounds(row: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(row, np.arange(n + 1))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with at most ``limit`` bytes of text, one row at least."""
     for batch in batches:
         sizes = np.diff(utf8_buffer(batch.column(column))[1])
