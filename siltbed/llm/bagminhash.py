@@ -40,6 +40,7 @@ from siltbed.llm.common import (
     SIMILARITY,
     combine,
     id_order,
+    mapped,
     mix,
     pieces,
     row_bounds,
@@ -189,7 +190,7 @@ def sketch(documents: DataFrame, p: NearDuplicateParameters) -> DataFrame:
                 ["id", "th", "bag", "bands", "packed"],
             )
 
-    return frame.mapInArrow(run, "id bigint, th bigint, bag binary, bands array<bigint>, packed binary")
+    return frame.transform(mapped, run, "id bigint, th bigint, bag binary, bands array<bigint>, packed binary")
 
 
 def _unpack(packed: bytes) -> bytes:
@@ -230,7 +231,7 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 ["leader", "member", "sim"],
             )
 
-    return of_member.join(of_leader, "leader").mapInArrow(run, "leader binary, member binary, sim double")
+    return of_member.join(of_leader, "leader").transform(mapped, run, "leader binary, member binary, sim double")
 
 
 def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,18 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def text_or_empty(column: str | Column = "text") -> Column:
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def mapped(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` in batches of 1,000 rows unless the session asks for another size than Spark's 10,000.
+
+    Texts are long: ten thousand of them, twice over and in two tasks, are a large part of an executor.
+    """
+    conf = frame.sparkSession.conf
+    if conf.get(_BATCH_ROWS) == "10000":
+        conf.set(_BATCH_ROWS, "1000")
+    return frame.mapInArrow(run, schema)
 
 
 def id_order(column: str = "doc_id") -> Column:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import id_order, mix, stored
+from siltbed.llm.common import id_order, mapped, mix, stored
 
 _LENGTH_BITS = 16
 _PARTS = 3
@@ -276,4 +276,4 @@ def fingerprinted(documents: DataFrame, p: FingerprintParameters = FingerprintPa
 
     areas = with_next(documents, p)
     dealt = areas.repartition("area").sortWithinPartitions("area", "guest", "id", "th")
-    return dealt.select("area", "guest", "doc_id", "text").mapInArrow(run, _SCHEMA)
+    return dealt.select("area", "guest", "doc_id", "text").transform(mapped, run, _SCHEMA)

@@ -106,4 +106,4 @@ def mix_sources(documents: DataFrame, p: MixingParameters = MixingParameters())
     plan = mixed(documents, p).where(F.col("taken") > 0)
     once = plan.groupBy(F.col("doc_id").alias("_id")).agg(*(F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")))
     kept = documents.drop("size", "source_size", "target", "taken")
-    return kept.join(once, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    return kept.join(small_side(stored(once, "taken")), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltbed.llm.common import mapped
+
 KINDS = ("email", "ip", "card", "phone")
 
 # Fixed values of the contract: local part, domain, address, card and phone. Runs are
@@ -242,7 +244,7 @@ def personal_data(documents: DataFrame) -> DataFrame:
             names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").transform(mapped, run, schema)
 
 
 def masked(text: str) -> str:
@@ -270,7 +272,7 @@ def mask(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, spare])
 
     schema = T.StructType([*documents.schema.fields, T.StructField(spare, T.StringType())])
-    done = documents.mapInArrow(run, schema).withColumn("text", F.col(spare))
+    done = documents.transform(mapped, run, schema).withColumn("text", F.col(spare))
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.length("text").cast("bigint"))
     return done.select(*names)

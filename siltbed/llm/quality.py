@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import pieces, row_bounds, stored, tokens, utf8_buffer
+from siltbed.llm.common import mapped, pieces, row_bounds, stored, tokens, utf8_buffer
 
 #: Fixed by the contract of the query: held-out remainder of crc32(doc_id as text) and the threshold.
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
@@ -110,8 +110,7 @@ def measured(documents: DataFrame) -> DataFrame:
             x = pa.array(list(statistics(batch.column("text"))), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), x], ["doc_id", "x"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, x array<double>"
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").transform(mapped, run, "doc_id bigint, x array<double>"
     )
 
 
@@ -152,7 +151,7 @@ def fit(statistics_of: DataFrame, labels: DataFrame, p: QualityParameters = Qual
         kind = pa.list_(pa.float64())
         yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array(list(total), kind)], ["quality", "sums"])
 
-    parts = statistics_of.join(known, "doc_id").select("quality", "x").mapInArrow(sums, "quality int, sums array<double>")
+    parts = statistics_of.join(known, "doc_id").select("quality", "x").transform(mapped, sums, "quality int, sums array<double>")
     rows = (
         parts.select("quality", F.posexplode("sums").alias("place", "value"))
         .groupBy("quality", "place")
@@ -189,7 +188,7 @@ def quality(documents: DataFrame, labels: DataFrame, p: QualityParameters = Qual
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS))
-    return rows.mapInArrow(run, "doc_id bigint, score double").select(
+    return rows.transform(mapped, run, "doc_id bigint, score double").select(
         "doc_id",
         F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"),
         "score",

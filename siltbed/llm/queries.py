@@ -38,7 +38,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"))
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
 def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import combine, id_order, mix, pieces, row_bounds, stored, tokens, utf8_buffer
+from siltbed.llm.common import combine, id_order, mapped, mix, pieces, row_bounds, stored, tokens, utf8_buffer
 from siltbed.operators.small_side import small_side
 
 
@@ -246,8 +246,7 @@ def parsed(documents: DataFrame, p: RepeatParameters) -> DataFrame:
                 ["id", "th", "n_words", "all_sha256", "packed", "picks"],
             )
 
-    return frame.mapInArrow(
-        run, f"id bigint, th bigint, n_words bigint, all_sha256 string, packed binary, picks {_PICK}"
+    return frame.transform(mapped, run, f"id bigint, th bigint, n_words bigint, all_sha256 string, packed binary, picks {_PICK}"
     )
 
 
@@ -274,7 +273,7 @@ def _window_hashes(texts: DataFrame, p: RepeatParameters) -> DataFrame:
                     ["name", "window", "id", "th", "lo"],
                 )
 
-    return texts.mapInArrow(run, "name bigint, window bigint, id bigint, th bigint, lo int")
+    return texts.transform(mapped, run, "name bigint, window bigint, id bigint, th bigint, lo int")
 
 
 def repeated_ranges(texts: DataFrame, p: RepeatParameters) -> DataFrame:
@@ -339,8 +338,7 @@ def without_repeats(documents: DataFrame, p: RepeatParameters = RepeatParameters
                 ["id", "th", "n_removed", "kept_sha256", "kept"],
             )
 
-    changed = _texts_of(texts, gone).join(gone, ["id", "th"]).mapInArrow(
-        cut, "id bigint, th bigint, n_removed bigint, kept_sha256 string, kept string"
+    changed = _texts_of(texts, gone).join(gone, ["id", "th"]).transform(mapped, cut, "id bigint, th bigint, n_removed bigint, kept_sha256 string, kept string"
     )
     return texts.select("id", "th", "n_words", "all_sha256").join(changed, ["id", "th"], "left").select(
         F.when(F.col("id") != (1 << 63) - 1, F.col("id")).alias("doc_id"),

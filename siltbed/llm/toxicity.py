@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import mix, pieces, stored, utf8_buffer
+from siltbed.llm.common import mapped, mix, pieces, stored, utf8_buffer
 
 #: Fixed by the contract of the query: held-out remainder of crc32(doc_id as text) and the threshold.
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
@@ -109,7 +109,7 @@ def fit(documents: DataFrame, labels: DataFrame, p: ToxicityParameters = Toxicit
                 [batch.column("toxic"), pa.array(parts, pa.list_(pa.int32()))], ["toxic", "ids"]
             )
 
-    sample = labelled_sample(documents, labels, p).mapInArrow(features, "toxic int, ids array<int>")
+    sample = labelled_sample(documents, labels, p).transform(mapped, features, "toxic int, ids array<int>")
 
     sample = stored(sample, "toxicity-sample")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -136,7 +136,7 @@ def fit(documents: DataFrame, labels: DataFrame, p: ToxicityParameters = Toxicit
             out = [s[s >= 0] for s in (slots[x.values.to_numpy(zero_copy_only=False)] for x in ids)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(out, pa.list_(pa.int32()))], ["toxic", "ids"])
 
-    rows = sample.mapInArrow(kept, "toxic int, ids array<int>").toArrow()  # bounded by sample_rows x features
+    rows = sample.transform(mapped, kept, "toxic int, ids array<int>").toArrow()  # bounded by sample_rows x features
     ids = [np.asarray(x.as_py(), dtype=np.int64) for x in rows["ids"]]
     weights, bias = _logistic(ids, rows["toxic"].to_numpy().astype(np.float64), ratios, p)
     return ToxicityModel(slots, (weights * ratios).astype(np.float64), bias, widths, bits)
@@ -191,7 +191,7 @@ def score(documents: DataFrame, model: ToxicityModel | None) -> DataFrame:
             out = pa.array(score_texts(batch.column("text"), model), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, "toxicity_score"])
 
-    return frame.mapInArrow(run, schema)
+    return frame.transform(mapped, run, schema)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, p: ToxicityParameters = ToxicityParameters()) -> DataFrame:

@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import id_order
+from siltbed.llm.common import id_order, mapped
 from siltbed.scratch import scratch_dir
 
 #: Ids are counted in so many equal slices of their range, from which shards are put together.
@@ -179,8 +179,7 @@ def write(pages: DataFrame, folder: str, p: WarcParameters = WarcParameters()) -
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate(kinds)], names)
 
     placed = rows.withColumn("shard", shard("id")).repartition("shard").sortWithinPartitions("shard", "id", "digest", "url")
-    written = placed.select("shard", "id", "url", "payload", "digest", "first").mapInArrow(
-        run, "shard int, name string, bytes bigint, records bigint, sha256 string"
+    written = placed.select("shard", "id", "url", "payload", "digest", "first").transform(mapped, run, "shard int, name string, bytes bigint, records bigint, sha256 string"
     )
     written.write.parquet(f"{folder}/manifest")
     return manifest(pages.sparkSession, folder)
@@ -254,7 +253,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in kinds.items()], list(kinds))
 
     schema = ", ".join(f"{k} {'bigint' if v == pa.int64() else 'string' if v == pa.string() else 'binary'}" for k, v in kinds.items())
-    return named.select("content", "sha256").mapInArrow(run, schema)
+    return named.select("content", "sha256").transform(mapped, run, schema)
 
 
 def round_trip(pages: DataFrame, p: WarcParameters = WarcParameters()) -> DataFrame:
