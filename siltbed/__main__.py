@@ -38,7 +38,7 @@ def job_from_args(argv: list[str] | None = None) -> tuple[LandingJob, argparse.N
     n_partitions = args.partitions or 1
     source = None
     if args.brokers and args.topic:
-        options = rollover.kafka_options(n_partitions) if args.continuous else {}
+        options = rollover.kafka_options(n_partitions)
         source = KafkaLog(
             args.brokers,
             args.topic,
@@ -47,7 +47,7 @@ def job_from_args(argv: list[str] | None = None) -> tuple[LandingJob, argparse.N
             options=options,
         )
     elif args.log_path:
-        source = FileLog(args.log_path, args.topic, rollover.file_options(n_partitions) if args.continuous else {})
+        source = FileLog(args.log_path, args.topic, rollover.file_options(n_partitions))
     job = LandingJob(
         source=source,
         topic=args.topic,
@@ -67,9 +67,8 @@ def job_from_args(argv: list[str] | None = None) -> tuple[LandingJob, argparse.N
 def main(argv: list[str] | None = None) -> None:
     job, args = job_from_args(argv)
     spark = SparkSession.builder.appName(job.app_name).getOrCreate()
-    # The topic's own options hold a batch back until it is full or old enough; files have only the clock.
-    interval = "10 seconds" if args.brokers else RolloverPolicy().processing_time()
-    job.start(spark, processing_time=interval if args.continuous else None).awaitTermination()
+    # The rollover options bound a batch; the next one follows at once, so they put no ceiling on throughput.
+    job.start(spark, processing_time="0 seconds" if args.continuous else None).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -13,6 +13,7 @@ receive the job's parameters as keyword arguments.
 from __future__ import annotations
 
 import json
+import inspect
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
@@ -60,6 +61,10 @@ class Mapper:
     def __call__(self, log: DataFrame, **parameters) -> DataFrame:
         return self.transform(log, **parameters)
 
+    def takes(self, parameter: str) -> bool:
+        accepted = inspect.signature(self.transform).parameters.values()
+        return any(p.name == parameter or p.kind is p.VAR_KEYWORD for p in accepted)
+
 
 _REGISTRY: dict[str, Mapper] = {}
 

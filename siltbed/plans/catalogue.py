@@ -299,7 +299,44 @@ def landed_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "text")
     export_text(accepted(csv_hour_mapper(messages(spark, sf_dir))), path)
-    return read_text(spark, path)
+    return read_text(spark, path).drop("partition", "start_offset")
+
+
+@query
+def text_export_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports, one for each half of the log: hours they share keep the lines of both."""
+    path = scratch_dir(spark, "text")
+    for half in _halves(messages(spark, sf_dir)):
+        export_text(accepted(csv_hour_mapper(half)), path)
+    return read_text(spark, path).drop("partition", "start_offset")
+
+
+@query
+def late_file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file log whose second file lies below the first: every message is landed or a reject with a reason."""
+    log_path = scratch_dir(spark, "log")
+    job = _job(spark, source=FileLog(log_path))
+    for half in reversed(_halves(messages(spark, sf_dir))):
+        append_log_files(half, log_path)
+        job.run(spark)
+    landed = job.committed(spark).select("topic", "partition", "offset", F.lit("landed").alias("outcome"))
+    rejects = job.committed_rejects(spark).select("topic", "partition", "offset", F.col("reject_reason").alias("outcome"))
+    return landed.unionByName(rejects)
+
+
+@query
+def two_topics_one_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics in one log, landed by two jobs under one root."""
+    log_path, output = scratch_dir(spark, "log"), scratch_dir(spark, "landing")
+    split = F.when(F.col("partition") < 2, F.lit("left")).otherwise(F.lit("right"))
+    append_log_files(messages(spark, sf_dir).withColumn("topic", split), log_path)
+    out = None
+    for topic in ("left", "right"):
+        job = LandingJob(source=FileLog(log_path), topic=topic, group=GROUP, mapper="csv_hour", output=output)
+        job.run(spark)
+        rows = job.committed(spark).select(*LANDED_COLUMNS)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query

@@ -139,6 +139,13 @@ from ({_metrics(f'"offset" // {ROLLOVER_BLOCK} as batch_no,')})""",
     "landed_rejects": f"select {KEYS}, value, reject_reason from routed where reject_reason is not null",
     "landed_rebalanced": _LANDED,
     "text_export": "select topic, event_day, event_hour, value as line from routed where reject_reason is null",
+    "text_export_late": "select topic, event_day, event_hour, value as line from routed where reject_reason is null",
+    "late_file_log": f"""
+select {KEYS}, case when "offset" < latest // 2 then 'behind_position' else coalesce(reject_reason, 'landed') end as outcome
+from routed join bounds using (topic, "partition")""",
+    "two_topics_one_root": """
+select case when "partition" < 2 then 'left' else 'right' end as topic, "partition", "offset", event_day, event_hour, value as line
+from routed where reject_reason is null""",
     "stream_landing": _LANDED,
     "replay_idempotent": _LANDED,
     "committed_read": _TWO_BATCHES,

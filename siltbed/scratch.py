@@ -20,7 +20,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.TemporaryDirectory(prefix=f"siltbed-{label}-", ignore_cleanup_errors=True)
     _LOCAL_FOLDERS.append(folder)

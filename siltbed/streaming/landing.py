@@ -6,7 +6,10 @@ in its checkpoint. The key is the query id and the batch id, which a restart
 from the checkpoint keeps. A failure before the ledger write leaves rows that
 the replay overwrites and that ``committed`` does not show; after it, the replay
 finds its key in the ledger and does nothing. A query that has lost its
-checkpoint has a new id, and starts from the positions in the ledger.
+checkpoint has a new id, and starts from the positions in the ledger, which it
+notes in its checkpoint: rows below them were landed before and are skipped.
+Any other row below the saved position has come late. It is kept as a reject
+with the reason ``behind_position``; nothing a stream reads goes without trace.
 """
 
 from __future__ import annotations
@@ -14,12 +17,14 @@ from __future__ import annotations
 import json
 import logging
 import uuid
+from collections.abc import Callable
 from concurrent.futures import Future
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltbed.functions import hour_route
@@ -35,6 +40,7 @@ from siltbed.streaming.tables import (
     read_commit,
     read_landed,
     read_messages,
+    read_or_empty,
     read_rejected,
     write_messages,
 )
@@ -46,6 +52,8 @@ REQUIRED = ("source", "topic", "group", "mapper", "output")
 # batch_id of ledger rows that record a chosen start position, not a batch.
 OPENING_BATCH = -1
 
+BEHIND_POSITION = "behind_position"
+
 
 class OutOfOrderError(RuntimeError):
     """A batch holds offsets below the position this run has already committed."""
@@ -80,21 +88,22 @@ class LandingJob:
             raise ValueError(f"landing job is missing: {', '.join(missing)}")
         self.mapper = get_mapper(self.mapper)
         self.output = self.output.rstrip("/")
-        self.checkpoint = self.checkpoint or f"{self.output}/checkpoint"
+        self.checkpoint = self.checkpoint or f"{self.output}/checkpoint/{self.topic}/{self.group}"
 
     # -- running -------------------------------------------------------------
 
     def start(self, spark: SparkSession, processing_time: str | None = None) -> StreamingQuery:
         """Start the query: everything available now and stop, or one batch per interval."""
+        if isinstance(self.source, FrameLog):
+            raise ValueError("a DataFrame cannot be streamed; use run_batch, or a FileLog or KafkaLog")
         source = self._open(spark)
-        # Fixed at start: the file list of the ledger is taken when it is read here.
-        opening = small_side(OffsetLedger(spark, self.output).heads(self.group), self.max_broadcast_rows)
+        opening = small_side(self._opening(spark), self.max_broadcast_rows)
         log = source.stream(spark).where(F.col("topic") == self.topic)
         query_id: Future[str] = Future()
 
         def land(batch: DataFrame, batch_id: int) -> None:
             key = f"{query_id.result()}-{batch_id}"
-            self.land_batch(batch, batch_id, opening, commit_key=key, prunable=False)
+            self.land_batch(batch, batch_id, opening, commit_key=key, prunable=False, keep_late=True)
 
         trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
         query = (
@@ -119,6 +128,14 @@ class LandingJob:
         prunable = not isinstance(self.source, KafkaLog)
         self.land_batch(log.where(F.col("topic") == self.topic), batch_id, prunable=prunable)
 
+    def _opening(self, spark: SparkSession) -> DataFrame:
+        """Saved positions when the checkpoint was new; a query that resumes keeps those."""
+        path = f"{self.checkpoint}/opening"
+        if not path_exists(spark, f"{self.checkpoint}/metadata"):
+            OffsetLedger(spark, self.output).heads(self.group).write.mode("overwrite").parquet(path)
+        heads = "topic string, partition int, saved_offset bigint"
+        return read_or_empty(spark, path, T.StructType.fromDDL(heads)).where(F.col("topic") == self.topic)
+
     def _open(self, spark: SparkSession) -> FileLog | FrameLog | KafkaLog:
         """Check the output root and settle where a new query starts."""
         ledger = OffsetLedger(spark, self.output)
@@ -165,14 +182,15 @@ class LandingJob:
         *,
         commit_key: str | None = None,
         prunable: bool = True,
+        keep_late: bool = False,
         commit: bool = True,
     ) -> None:
         """Land one bounded batch of log rows and commit its offsets.
 
         ``opening`` holds the saved positions when the run began; by default the
         current ones. Rows below them were committed by an earlier run and are
-        skipped. A batch that then still starts below the current position holds
-        rows out of order: that is an error, since a restart would skip them.
+        skipped. Other rows below the current position are out of order: an error,
+        or with ``keep_late`` rejects with a reason.
 
         Offset ranges cover accepted, rejected and dropped messages alike. Where
         ``prunable``, they are a scan of the batch's offset columns. Otherwise the
@@ -196,6 +214,12 @@ class LandingJob:
             .where(F.col("saved_offset").isNull() | (F.col("offset") >= F.col("saved_offset")))
             .drop("saved_offset")
         )
+        late = None
+        if keep_late:
+            heads = small_side(ledger.heads(self.group), self.max_broadcast_rows)
+            placed = fresh.join(heads, KEYS, "left")
+            is_late = F.coalesce(F.col("offset") < F.col("saved_offset"), F.lit(False))
+            late, fresh = placed.where(is_late), placed.where(~is_late).drop("saved_offset")
         kept = [] if prunable or self.mapper.total else [fresh.persist(StorageLevel.MEMORY_AND_DISK)]
         try:
             ranges = None
@@ -204,10 +228,17 @@ class LandingJob:
                 if ranges is None:
                     return
             mapped = self.mapper(fresh, **self._mapper_arguments())
+            if late is not None:
+                line = F.col("value") if "value" in late.columns else F.lit(None).cast("string")
+                rejects = late.select(*KEYS, "offset", line.alias("line"), F.lit(BEHIND_POSITION).alias("reject_reason"))
+                mapped = mapped.unionByName(rejects, allowMissingColumns=True)
             write_messages(mapped, self.output, commit_key, self.mapper.buckets, rebalance=self.rebalance)
             if ranges is None:
                 written = read_commit(batch.sparkSession, self.output, commit_key, self.mapper.buckets)
-                ranges = self._checked_ranges(written if self.mapper.total else fresh, ledger, kept)
+                is_behind = F.coalesce(F.col("reject_reason") == BEHIND_POSITION, F.lit(False))
+                ranges = self._checked_ranges(written.where(~is_behind) if self.mapper.total else fresh, ledger, kept)
+                if late is not None:
+                    ranges = self._with_late(ranges, written.where(is_behind), ledger)
             if commit and ranges is not None:
                 ledger.append(self._ranges(ranges, batch_id, commit_key))
                 LOGGER.info("batch %s is committed", batch_id)
@@ -215,6 +246,20 @@ class LandingJob:
             for frame in kept:
                 frame.unpersist()
 
+    def _with_late(self, ranges: DataFrame | None, late: DataFrame, ledger: OffsetLedger) -> DataFrame | None:
+        """Add an empty range at the saved position for partitions of which the batch has late rows only."""
+        columns = [*KEYS, "start_offset", "next_offset"]
+        counts = late.groupBy(*KEYS).agg(F.count("*").alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+        if counts.isEmpty():
+            counts.unpersist()
+            return ranges
+        LOGGER.warning("messages behind the saved position are kept as rejects in %s", self.output)
+        only = counts.join(ledger.heads(self.group), KEYS)
+        if ranges is not None:
+            only = only.join(ranges.select(*KEYS), KEYS, "left_anti")
+        empty = only.select(*KEYS, F.col("saved_offset").alias("start_offset"), F.col("saved_offset").alias("next_offset"))
+        return empty if ranges is None else ranges.select(*columns).unionByName(empty)
+
     def _inputs(self, log: DataFrame) -> DataFrame:
         return log.select(*KEYS, "offset", *self.mapper.inputs)
 
@@ -247,32 +292,36 @@ class LandingJob:
             return self.parameters
         if not self.parameters.strip():
             return {}
+        # Free text goes to mappers that take it; others have no use for it.
+        free = {"parameters": self.parameters} if self.mapper.takes("parameters") else {}
         try:
             parsed = json.loads(self.parameters)
         except json.JSONDecodeError:
-            return {"parameters": self.parameters}
-        return parsed if isinstance(parsed, dict) else {"parameters": self.parameters}
+            return free
+        return parsed if isinstance(parsed, dict) else free
 
     # -- reading back --------------------------------------------------------
 
     def committed(self, spark: SparkSession) -> DataFrame:
         """Landed rows of committed batches, each message once."""
-        return self._committed(spark, read_landed(spark, self.output, self.mapper.buckets))
+        return self._committed(spark, read_landed)
 
     def committed_rejects(self, spark: SparkSession) -> DataFrame:
         """Rejected rows of committed batches with their reasons."""
-        return self._committed(spark, read_rejected(spark, self.output, self.mapper.buckets))
+        return self._committed(spark, read_rejected)
 
     def commit_metrics(self, spark: SparkSession) -> DataFrame:
         """Characters, open routes and offset range of each committed batch and partition.
 
         Read from the messages table, so landing itself pays nothing for it.
         """
-        rows = self._committed(spark, read_messages(spark, self.output, self.mapper.buckets))
+        rows = self._committed(spark, read_messages)
         if "route" not in rows.columns:
             rows = rows.withColumn("route", hour_route(F.col("event_day"), F.col("event_hour")))
         return batch_commit_metrics(rows, "commit_key")
 
-    def _committed(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
-        commits = OffsetLedger(spark, self.output).commit_keys(self.group)
+    def _committed(self, spark: SparkSession, read: Callable[..., DataFrame]) -> DataFrame:
+        # The ledger is listed first: a batch committed meanwhile is then missing as a whole, not in part.
+        commits = OffsetLedger(spark, self.output).commit_keys(self.group).where(F.col("topic") == self.topic)
+        rows = read(spark, self.output, self.mapper.buckets).where(F.col("topic") == self.topic)
         return committed_read(rows, commits, self.max_broadcast_rows)

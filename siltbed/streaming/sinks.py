@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltbed.operators.small_side import small_side
 from siltbed.schema import HOUR_BUCKETS
 
 # Text codecs that Spark can write without extra libraries.
@@ -15,20 +16,25 @@ TEXT_CODECS = ("none", "gzip", "bzip2", "lz4", "snappy", "deflate")
 def export_text(
     rows: DataFrame, path: str, buckets: T.StructType = HOUR_BUCKETS, compression: str = "gzip"
 ) -> None:
-    """Write mapped or landed lines as text, in offset order per bucket and partition.
+    """Write mapped or landed lines as text, in offset order, under bucket, partition and start offset.
 
-    A range shuffle on bucket, partition and offset does the ordering: a bucket
-    with most of the rows is cut between offsets, and its part files in name
-    order hold each partition's lines in offset order. A line that contains a newline becomes two
-    lines of text; the landed table keeps it whole.
+    The start offset is the smallest of the partition among the exported rows. So
+    a later export adds folders to an hour and leaves what is there, and the same
+    export again replaces its own. Every task sorts what it has read, which
+    follows the log; nothing is shuffled but the start offsets. A line that
+    contains a newline becomes two lines of text; the landed table keeps it whole.
     """
     if compression not in TEXT_CODECS:
         raise ValueError(f"text codec must be one of {TEXT_CODECS}, got {compression!r}")
-    directories = ["topic", *buckets.fieldNames()]
+    keys = ["topic", "partition"]
+    starts = rows.groupBy(*keys).agg(F.min("offset").alias("start_offset"))
+    directories = ["topic", *buckets.fieldNames(), "partition", "start_offset"]
     (
-        rows.select("line", *directories, "partition", "offset")
-        .orderBy(*directories, "partition", "offset")
-        .select("line", *directories)
+        rows.select("line", "topic", *buckets.fieldNames(), "partition", "offset")
+        .join(small_side(starts), keys)
+        .select("line", *directories, "offset")
+        .sortWithinPartitions(*directories, "offset")
+        .drop("offset")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
@@ -39,8 +45,9 @@ def export_text(
 
 def read_text(spark: SparkSession, path: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Exported lines with their directory columns."""
-    text = [T.StructField("line", T.StringType()), T.StructField("topic", T.StringType())]
-    return spark.read.schema(T.StructType([*text, *buckets.fields])).text(path)
+    line, topic = T.StructField("line", T.StringType()), T.StructField("topic", T.StringType())
+    place = [T.StructField("partition", T.IntegerType()), T.StructField("start_offset", T.LongType())]
+    return spark.read.schema(T.StructType([line, topic, *buckets.fields, *place])).text(path)
 
 
 def producer_payload(spark: SparkSession, n: int = 100) -> DataFrame:

@@ -228,11 +228,14 @@ def test_text_keeps_offset_order_and_codec(spark, log_of, tmp_path):
     path = str(tmp_path / "text")
     export_text(rows, path)
     lines = []
-    for name in sorted(glob.glob(f"{path}/topic=t/event_day=1970-01-01/event_hour=13/*.gz")):
+    for name in sorted(glob.glob(f"{path}/topic=t/event_day=1970-01-01/event_hour=13/*/*/*.gz")):
         with gzip.open(name, "rt") as file:
             lines += file.read().splitlines()
     assert lines == [message(5, f"{p}-{o}") for p in (0, 1) for o in range(30)]
     assert read_text(spark, path).count() == 60
+    export_text(csv_hour_mapper(log_of([(0, 99, message(5, "late"))])), path)
+    export_text(rows, path)
+    assert read_text(spark, path).count() == 61
     with pytest.raises(ValueError):
         export_text(rows, path, compression="lzo")
 
@@ -271,3 +274,48 @@ def test_command_line(tmp_path):
     assert args.continuous
     with pytest.raises(ValueError, match="missing: source, mapper"):
         job_from_args("--topic t --group g --output /o".split())
+
+
+def test_rows_below_the_position_are_kept_as_rejects(spark, log_of, tmp_path, log_path):
+    job = job_for(tmp_path, FileLog(log_path, options={"maxFilesPerTrigger": "1"}))
+    append_log_files(log_of([(0, o, message(o)) for o in range(5, 10)]).coalesce(1), log_path)
+    job.run(spark)
+    append_log_files(log_of([(0, o, message(o)) for o in range(5)]).coalesce(1), log_path)
+    job.run(spark)
+    append_log_files(log_of([(0, 3, message(3)), (0, 10, message(1))]).coalesce(1), log_path)
+    job.run(spark)
+    assert offsets_of(job.committed(spark)) == [(0, o) for o in range(5, 11)]
+    rejects = job.committed_rejects(spark)
+    assert {r.reject_reason for r in rejects.collect()} == {"behind_position"}
+    assert offsets_of(rejects) == [(0, 0), (0, 1), (0, 2), (0, 3), (0, 3), (0, 4)]
+    assert OffsetLedger(spark, job.output).heads("g").first().saved_offset == 11
+
+
+def test_topics_of_one_root_do_not_mix(spark, log_of, tmp_path, log_path):
+    log = log_of([(0, o, message(o)) for o in range(3)]).unionByName(log_of([(0, 0, message(7))], topic="u"))
+    append_log_files(log.coalesce(1), log_path)
+    for topic, count in (("t", 3), ("u", 1)):
+        job = job_for(tmp_path, FileLog(log_path), topic=topic)
+        job.run(spark)
+        assert job.committed(spark).count() == count
+
+
+def test_a_commit_during_the_listing_is_missing_as_a_whole(spark, log_of, tmp_path, monkeypatch):
+    job = job_for(tmp_path, FrameLog(log_of([(0, 0, message(1))])))
+    job.run_batch(spark)
+
+    def slow(*arguments):
+        found = read_landed(*arguments)
+        job.land_batch(log_of([(0, o, message(o)) for o in (1, 2)]), 1)
+        return found
+
+    monkeypatch.setattr(landing_module, "read_landed", slow)
+    assert offsets_of(job.committed(spark)) == [(0, 0)]
+
+
+def test_free_text_parameters_and_frames(spark, log_of, tmp_path):
+    job = job_for(tmp_path, FrameLog(log_of([(0, 0, message(1))])), parameters="free text")
+    job.run_batch(spark)
+    assert job.committed(spark).count() == 1
+    with pytest.raises(ValueError, match="run_batch"):
+        job.start(spark)
