@@ -106,9 +106,11 @@ _SPELLED_PART = re.compile(rf"plus[\x20-]|{_DIGIT_WORD}|\x20?dot\x20?|[\x20,-]+"
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = re.compile(rf"\x20*{_OPEN}\x20*(?:at|@)\x20*{_CLOSE}\x20*", re.I)
 _DOT = re.compile(rf"\x20*{_OPEN}\x20*(?:dot|\.)\x20*{_CLOSE}\x20*", re.I)
+#: Endings that tell a spoken address ("joe at example dot com") from prose with "at" and "dot".
+ENDINGS = "com|org|net|edu|gov|info|io|ai|eu|de|fr|es|it|nl|ch|at|uk|us|ca|au|jp|cn|br|in|ru|pl|se"
 _AT_DOT = re.compile(
-    rf"(?<![{_LOCAL}])[{_LOCAL}]+(\x20at\x20|@|\x20@\x20)[A-Za-z0-9-]+(?:(?:\x20dot\x20|\.|\x20\.\x20)[A-Za-z0-9-]+)*\x20dot\x20[A-Za-z0-9-]+"
-    rf"|(?<![{_LOCAL}])[{_LOCAL}]+\x20(?:at|@)\x20[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?=\x20|$)(?<=\.com|\.org|\.net|\.edu|\.gov)",
+    rf"(?<![{_LOCAL}])[{_LOCAL}]++(?:\x20at\x20|@|\x20@\x20)[A-Za-z0-9-]+(?:(?:\x20dot\x20|\.|\x20\.\x20)[A-Za-z0-9-]+)*?"
+    rf"(?:\x20dot\x20|\.)(?:{ENDINGS})\b",
     re.I,
 )
 _AT_DOT_PART = re.compile(r"\x20(?:at|dot|@|\.)\x20", re.I)
@@ -124,8 +126,8 @@ class Rewritten:
         self.new = bytearray(len(text))
 
     def apply(self, pattern: re.Pattern, make: Callable[[str], str]) -> None:
-        """Replace each match by nothing or one character; a longer replacement must keep the length."""
-        out, start, end, new, at = [], [], [], bytearray(), 0
+        """Replace each match by nothing or by one character."""
+        out, start, end, new, gone, at = [], [], [], bytearray(), [], 0
         for m in pattern.finditer(self.text):
             s, e = m.span()
             put = make(m.group())
@@ -137,10 +139,16 @@ class Rewritten:
                 start.append(self.start[s])
                 end.append(self.end[e - 1])
                 new.append(1)
+            else:
+                gone.append(len(new))
             at = e
         if at:
             self.text = "".join([*out, self.text[at:]])
             self.start, self.end, self.new = start + self.start[at:], end + self.end[at:], new + self.new[at:]
+            # What follows a removed character has a new neighbour.
+            for place in gone:
+                if place < len(self.new):
+                    self.new[place] = 1
 
     def within(self, outer: re.Pattern, inner: re.Pattern, make: Callable[[str], str]) -> None:
         """Apply ``inner`` inside the matches of ``outer`` only."""
@@ -189,7 +197,8 @@ def rewrite(text: str) -> Rewritten | None:
         state = now = Rewritten(text)
         now.apply(_FOREIGN, _plain)
     low = (state.text if state else text).lower()
-    if len(low) != len(state.text if state else text) or "dot" in low or "at" in low and ("[" in low or "(" in low or "{" in low or "<" in low) or " at " in low and re.search(r"\.(?:com|org|net|edu|gov)\b", low) or _SPELLED.search(low):
+    spoken = (" at " in low or "@" in low) and _AT_DOT.search(low)
+    if spoken or _AT.search(low) or _DOT.search(low) or _SPELLED.search(low):
         if state is None:
             state = now = Rewritten(text)
         now.within(_SPELLED, _SPELLED_PART, _spelled)

@@ -149,6 +149,8 @@ def picks(h: np.ndarray, doc: np.ndarray, n_docs: int, p: RepeatParameters) -> t
     n, w = len(h), p.window
     far = 1 << 40
     place = np.arange(n)
+    if n < w:
+        return h[:0], place[:0], place[:0]
     now = _Symbols(h, place, place + 1, place, place + 1, doc)
     found = [(h, place, place, place + 1, np.zeros(n, dtype=np.int64))]
     for level in range(1, p.rounds + 1):
