@@ -10,13 +10,17 @@ horizon cannot be earliest for any component, so most sections need one draw.
 Two documents agree in a component with probability equal to their weighted
 Jaccard similarity (Ertl, "BagMinHash", 2018, describes the scheme).
 
-Links. Equal multisets are one node. Nodes that share a band are compared with
-the leaders of that bucket: the smallest digest first; nodes which no leader of
-the bucket resembles elect more leaders among themselves (eight times as many in
-each round), compared with the whole bucket, until every node is a leader or
-resembles one. Hot buckets therefore cost rows times leaders, not rows squared.
-Similarities are exact, from the multisets themselves. At the end, pairs of
-classes of one bucket that a link of two non-leaders could still join (distance
+Links. Equal multisets are one node. A bucket holds the nodes that share a band.
+Its leader is the one with the most rows in all its buckets together, so the
+buckets of one group of copies mostly have the same leader, and every node is
+compared with the best of its leaders first. A bucket whose nodes are then of
+one class has no link left that could change the classes. In the others every
+node is compared with the leader; nodes which no leader of the bucket resembles
+elect more leaders among themselves (eight times as many in each round), compared
+with the whole bucket, until every node is a leader or resembles one, or the
+bucket is of one class. Hot buckets therefore cost rows times leaders, not rows
+squared. Similarities are exact, from the multisets themselves. At the end, pairs
+of classes of one bucket that a link of two non-leaders could still join (distance
 obeys the triangle inequality) are compared in the zone where it could lie.
 
 Classes are the connected components of the links.
@@ -54,6 +58,10 @@ from siltbed.llm.components import components
 from siltbed.operators.small_side import small_side
 
 
+#: Members of one leader that are compared with one copy of its text.
+MEMBERS_A_SHARE = 500
+
+
 @dataclass(frozen=True)
 class NearDuplicateParameters:
     bands: int = 24
@@ -200,12 +208,16 @@ def _unpack(packed: bytes) -> bytes:
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Exact similarity of every (leader, member) pair of nodes; ``texts`` is (bag, packed), a row per node."""
     pairs = stored(pairs, "pairs")
-    leading = pairs.select(F.col("leader").alias("bag")).distinct()
-    of_leader = texts.join(small_side(leading), "bag", "left_semi").select(
-        F.col("bag").alias("leader"), F.col("packed").alias("leader_text")
+    # A leader's text is repeated once for so many members, so that a hot leader's are dealt over several tasks.
+    shares = F.ceil(F.count("*") / MEMBERS_A_SHARE).cast("int").alias("shares")
+    leading = stored(pairs.groupBy("leader").agg(shares), "leaders")
+    of_leader = texts.join(small_side(leading.withColumnRenamed("leader", "bag")), "bag").select(
+        F.col("bag").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("packed").alias("leader_text")
     )
-    of_member = texts.join(small_side(pairs.select("leader", F.col("member").alias("bag"))), "bag").select(
-        "leader", F.col("bag").alias("member"), "packed"
+    share = F.pmod(F.xxhash64("member"), F.col("shares")).cast("int").alias("share")
+    dealt = pairs.join(small_side(leading), "leader").select("leader", "member", share)
+    of_member = texts.join(small_side(dealt.withColumnRenamed("member", "bag")), "bag").select(
+        "leader", "share", F.col("bag").alias("member"), "packed"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +243,7 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 ["leader", "member", "sim"],
             )
 
-    return of_member.join(of_leader, "leader").transform(mapped, run, "leader binary, member binary, sim double")
+    return of_member.join(of_leader, ["leader", "share"]).drop("share").transform(mapped, run, "leader binary, member binary, sim double")
 
 
 def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -243,9 +255,11 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
         "nodes",
     )
     rows = nodes.select("bag", F.explode("bands").alias("bucket"))
-    many = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    many = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     whole = stored(rows.join(many, "bucket"), "buckets")
-    shared = stored(whole.select("bag").distinct().join(nodes.select("bag", "id", "th"), "bag"), "shared-nodes")
+    # Nodes with the most rows in their buckets rank first.
+    rank = whole.groupBy("bag").agg((-F.sum("n")).alias("rank"))
+    shared = stored(rank.join(nodes.select("bag", "id", "th"), "bag"), "shared-nodes")
     # Only texts that share a bucket are compared; small sides are measured before they are broadcast.
     texts = stored(
         sketches.select("id", "th", "bag", "packed")
@@ -254,11 +268,16 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
         .select("bag", "packed"),
         "texts",
     )
-    low = whole.groupBy("bucket").agg(F.min("bag").alias("leader"))
-    members = stored(whole.join(low, "bucket").where(F.col("bag") != F.col("leader")), "members")
-    pairs = members.select("leader", F.col("bag").alias("member")).distinct()
-    known = stored(_both_ways(compare(pairs, texts)), "similarities")
-    led, elected, settled = members.select("bucket", "bag", "leader"), 1, None
+    ranked = whole.select("bucket", "bag").join(small_side(shared.select("bag", "rank")), "bag")
+    low = ranked.groupBy("bucket").agg(F.min(F.struct("rank", F.col("bag").alias("leader"))).alias("first"))
+    members = stored(
+        whole.select("bucket", "bag").join(low, "bucket").where(F.col("bag") != F.col("first.leader")), "members"
+    )
+    best = members.groupBy(F.col("bag").alias("member")).agg(F.min("first").alias("first"))
+    known = stored(_both_ways(compare(best.select("first.leader", "member"), texts)), "similarities")
+    led = members.select("bucket", "bag", "first.leader").join(small_side(_mixed(whole, known, p)), "bucket", "left_semi")
+    known = _with_pairs(known, led.select("leader", F.col("bag").alias("member")), texts)
+    elected, settled = 1, None
     while True:
         seen = stored(led.join(known.withColumnRenamed("member", "bag"), ["leader", "bag"]), "led")
         fits = seen.where(F.col("sim") >= p.similarity)
@@ -268,6 +287,9 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
             seen.groupBy("bucket", "bag").agg(F.max("sim").alias("sim")).where(F.col("sim") < p.similarity).drop("sim"),
             "rest",
         )
+        if not rest.isEmpty():
+            at = whole.join(small_side(rest.select("bucket").distinct()), "bucket", "left_semi")
+            rest = stored(rest.join(small_side(_mixed(at, known, p)), "bucket", "left_semi"), "rest")
         if rest.isEmpty():
             return nodes, texts, known
         elected *= 8
@@ -278,12 +300,13 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
             "leaders",
         )
         led = rest.join(leaders, "bucket").where(F.col("bag") != F.col("leader"))
-        # A new leader can resemble a row only if it is about as near to that row's leader (triangle inequality).
+        # What resembles a row of the new leader's is within twice the distance of that leader, and so about
+        # as near to the row's own leader (triangle inequality); `_across` needs those pairs as well.
         old = (
             settled.withColumnRenamed("sim", "to_row")
             .join(leaders.withColumnRenamed("leader", "new"), "bucket")
             .join(known.withColumnRenamed("member", "new"), ["leader", "new"])
-            .where(F.col("sim") >= F.col("to_row") - (1.0 - p.similarity) - 1e-9)
+            .where(F.col("sim") >= F.col("to_row") - 2.0 * (1.0 - p.similarity) - 1e-9)
         )
         wanted = led.select("leader", F.col("bag").alias("member")).unionByName(
             old.select(F.col("new").alias("leader"), F.col("bag").alias("member"))
@@ -292,6 +315,14 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
         led = led.join(leaders.select("bucket", F.col("leader").alias("bag")), ["bucket", "bag"], "left_anti")
 
 
+def _mixed(rows: DataFrame, known: DataFrame, p: NearDuplicateParameters) -> DataFrame:
+    """Buckets of (bucket, bag) rows that are of more than one class by the links known so far."""
+    root = _roots(known, p).withColumnRenamed("node", "bag")
+    placed = rows.select("bucket", "bag").join(root, "bag", "left").withColumn("root", F.coalesce("root", "bag"))
+    ends = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return stored(ends.where("low <> high").select("bucket"), "mixed")
+
+
 def _both_ways(compared: DataFrame) -> DataFrame:
     return compared.unionByName(
         compared.select(F.col("member").alias("leader"), F.col("leader").alias("member"), "sim")
