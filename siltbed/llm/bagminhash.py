@@ -275,7 +275,7 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
     )
     best = members.groupBy(F.col("bag").alias("member")).agg(F.min("first").alias("first"))
     known = stored(_both_ways(compare(best.select("first.leader", "member"), texts)), "similarities")
-    led = members.select("bucket", "bag", "first.leader").join(small_side(_mixed(whole, known, p)), "bucket", "left_semi")
+    led = members.select("bucket", "bag", "first.leader").join(small_side(_mixed(whole, _roots(known, p))), "bucket", "left_semi")
     known = _with_pairs(known, led.select("leader", F.col("bag").alias("member")), texts)
     elected, settled = 1, None
     while True:
@@ -289,7 +289,8 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
         )
         if not rest.isEmpty():
             at = whole.join(small_side(rest.select("bucket").distinct()), "bucket", "left_semi")
-            rest = stored(rest.join(small_side(_mixed(at, known, p)), "bucket", "left_semi"), "rest")
+            root = _roots(known, p)
+            rest = stored(rest.join(small_side(_mixed(at, root)), "bucket", "left_semi"), "rest")
         if rest.isEmpty():
             return nodes, texts, known
         elected *= 8
@@ -303,8 +304,10 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
         # What resembles a row of the new leader's is within twice the distance of that leader, and so about
         # as near to the row's own leader (triangle inequality); `_across` needs those pairs as well.
         old = (
-            settled.withColumnRenamed("sim", "to_row")
-            .join(leaders.withColumnRenamed("leader", "new"), "bucket")
+            _classed(settled.withColumnRenamed("sim", "to_row"), root, "bag", "class")
+            .join(_classed(leaders.withColumnRenamed("leader", "new"), root, "new", "new_class"), "bucket")
+            # Rows of the new leader's own class can add no link between classes.
+            .where(F.col("class") != F.col("new_class"))
             .join(known.withColumnRenamed("member", "new"), ["leader", "new"])
             .where(F.col("sim") >= F.col("to_row") - 2.0 * (1.0 - p.similarity) - 1e-9)
         )
@@ -315,12 +318,17 @@ def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[Dat
         led = led.join(leaders.select("bucket", F.col("leader").alias("bag")), ["bucket", "bag"], "left_anti")
 
 
-def _mixed(rows: DataFrame, known: DataFrame, p: NearDuplicateParameters) -> DataFrame:
-    """Buckets of (bucket, bag) rows that are of more than one class by the links known so far."""
-    root = _roots(known, p).withColumnRenamed("node", "bag")
-    placed = rows.select("bucket", "bag").join(root, "bag", "left").withColumn("root", F.coalesce("root", "bag"))
-    ends = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return stored(ends.where("low <> high").select("bucket"), "mixed")
+def _classed(rows: DataFrame, root: DataFrame, node: str, name: str) -> DataFrame:
+    """``rows`` with the class of the given node as a further column; a node without a link is its own."""
+    of = root.select(F.col("node").alias(node), F.col("root").alias(name))
+    return rows.join(of, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _mixed(rows: DataFrame, root: DataFrame) -> DataFrame:
+    """Buckets of (bucket, bag) rows that are of more than one class."""
+    ends = _classed(rows.select("bucket", "bag"), root, "bag", "class").groupBy("bucket")
+    mixed = ends.agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    return stored(mixed.select("bucket"), "mixed")
 
 
 def _both_ways(compared: DataFrame) -> DataFrame:
