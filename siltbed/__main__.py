@@ -6,7 +6,6 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from siltbed.operators.metrics import RolloverPolicy
 from siltbed.sources import FileLog, KafkaLog
 from siltbed.streaming import LandingJob
 
@@ -18,7 +17,7 @@ def build_parser() -> argparse.ArgumentParser:
     source.add_argument("--log-path", help="folder of Parquet log files")
     parser.add_argument("--topic")
     parser.add_argument("--group")
-    parser.add_argument("--mapper", help="registered mapper name, such as csv_hour")
+    parser.add_argument("--mapper", help="registered mapper name, such as csv_hour, or module:name")
     parser.add_argument("--output", help="output root")
     parser.add_argument("--parameters", default="", help="JSON object of mapper arguments, or free text")
     parser.add_argument("--app-name", default="log_landing")
@@ -34,20 +33,16 @@ def build_parser() -> argparse.ArgumentParser:
 
 def job_from_args(argv: list[str] | None = None) -> tuple[LandingJob, argparse.Namespace]:
     args = build_parser().parse_args(argv)
-    rollover = RolloverPolicy()
-    n_partitions = args.partitions or 1
     source = None
     if args.brokers and args.topic:
-        options = rollover.kafka_options(n_partitions)
         source = KafkaLog(
             args.brokers,
             args.topic,
             n_partitions=args.partitions,
             min_partitions=args.min_partitions,
-            options=options,
         )
     elif args.log_path:
-        source = FileLog(args.log_path, args.topic, rollover.file_options(n_partitions))
+        source = FileLog(args.log_path, args.topic)
     job = LandingJob(
         source=source,
         topic=args.topic,
@@ -60,6 +55,7 @@ def job_from_args(argv: list[str] | None = None) -> tuple[LandingJob, argparse.N
         auto_offset_reset=args.auto_offset_reset,
         checkpoint=args.checkpoint,
         rebalance=args.rebalance,
+        n_partitions=args.partitions,
     )
     return job, args
 
@@ -67,7 +63,7 @@ def job_from_args(argv: list[str] | None = None) -> tuple[LandingJob, argparse.N
 def main(argv: list[str] | None = None) -> None:
     job, args = job_from_args(argv)
     spark = SparkSession.builder.appName(job.app_name).getOrCreate()
-    # The rollover options bound a batch; the next one follows at once, so they put no ceiling on throughput.
+    # The job's rollover limits bound a batch; the next one follows at once, so they put no ceiling on throughput.
     job.start(spark, processing_time="0 seconds" if args.continuous else None).awaitTermination()
 
 

@@ -12,8 +12,9 @@ receive the job's parameters as keyword arguments.
 
 from __future__ import annotations
 
-import json
+import importlib
 import inspect
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
@@ -91,8 +92,21 @@ def register_mapper(
 
 
 def get_mapper(name: str | Mapper) -> Mapper:
+    """A mapper by its registered name, or by ``module:name``, which imports the module first.
+
+    After the colon stands a name that the module registers, or its own name of
+    a ``Mapper`` or of a class with ``eval`` (see ``row_mapper``).
+    """
     if isinstance(name, Mapper):
         return name
+    module, colon, own = name.partition(":")
+    if colon:
+        found = getattr(importlib.import_module(module), own, None)
+        if isinstance(found, Mapper):
+            return found
+        if isinstance(found, type) and hasattr(found, "eval"):
+            return Mapper(name, row_mapper(found), ROUTE_BUCKETS)
+        name = own
     if name not in _REGISTRY:
         raise ValueError(f"no mapper named {name!r}; registered: {sorted(_REGISTRY)}")
     return _REGISTRY[name]

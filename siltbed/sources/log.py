@@ -80,7 +80,15 @@ class KafkaLog:
             base["minPartitions"] = str(self.min_partitions)
         return {**base, **self.options}
 
+    def starts_at_end(self) -> bool:
+        """Whether any partition starts at its end, which only a stream can do."""
+        if self.starting_offsets in ("earliest", "latest"):
+            return self.starting_offsets == "latest"
+        return any(KAFKA_LATEST in offsets.values() for offsets in json.loads(self.starting_offsets).values())
+
     def read(self, spark: SparkSession) -> DataFrame:
+        if self.starts_at_end():
+            raise ValueError("a bounded read of a topic cannot start at its end; start a stream")
         return decode_messages(spark.read.format("kafka").options(**self.source_options()).load())
 
     def stream(self, spark: SparkSession) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from siltbed.functions import hour_route
 from siltbed.operators.committed import committed_read
 from siltbed.operators.mapping import Mapper, get_mapper
-from siltbed.operators.metrics import batch_commit_metrics
+from siltbed.operators.metrics import RolloverPolicy, batch_commit_metrics
 from siltbed.operators.offsets import EARLIEST, KEYS, partition_bounds, resolve_start
 from siltbed.operators.small_side import MAX_BROADCAST_ROWS, small_side
 from siltbed.sources.log import FileLog, FrameLog, KafkaLog, kafka_starting_offsets
@@ -67,6 +67,10 @@ class LandingJob:
     checkpoint yet; after that it resumes. ``parameters`` is a dict or a JSON
     object of keyword arguments for the mapper; other text is handed to it as
     ``parameters``.
+
+    ``rollover`` bounds the batches of a stream, those of a backlog too; None
+    leaves them unbounded, and a source with trigger options of its own keeps
+    those. ``n_partitions`` is the number of partitions the bound is for.
     """
 
     source: FileLog | FrameLog | KafkaLog | None = None
@@ -80,6 +84,8 @@ class LandingJob:
     auto_offset_reset: str = EARLIEST
     checkpoint: str | None = None
     rebalance: bool = False
+    rollover: RolloverPolicy | None = field(default_factory=RolloverPolicy)
+    n_partitions: int | None = None
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
 
     def __post_init__(self):
@@ -96,7 +102,7 @@ class LandingJob:
         """Start the query: everything available now and stop, or one batch per interval."""
         if isinstance(self.source, FrameLog):
             raise ValueError("a DataFrame cannot be streamed; use run_batch, or a FileLog or KafkaLog")
-        source = self._open(spark)
+        source = self._bounded(self._open(spark))
         opening = small_side(self._opening(spark), self.max_broadcast_rows)
         log = source.stream(spark).where(F.col("topic") == self.topic)
         query_id: Future[str] = Future()
@@ -128,6 +134,16 @@ class LandingJob:
         prunable = not isinstance(self.source, KafkaLog)
         self.land_batch(log.where(F.col("topic") == self.topic), batch_id, prunable=prunable)
 
+    def _bounded(self, source: FileLog | KafkaLog) -> FileLog | KafkaLog:
+        """The source with the rollover limits as its trigger options."""
+        if self.rollover is None or any("pertrigger" in option.lower() for option in source.options):
+            return source
+        if isinstance(source, KafkaLog):
+            limits = self.rollover.kafka_options(self.n_partitions or source.n_partitions or 1)
+        else:
+            limits = self.rollover.file_options(self.n_partitions or 1)
+        return replace(source, options={**limits, **source.options})
+
     def _opening(self, spark: SparkSession) -> DataFrame:
         """Saved positions when the checkpoint was new; a query that resumes keeps those."""
         path = f"{self.checkpoint}/opening"

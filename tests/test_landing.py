@@ -270,12 +270,37 @@ def test_command_line(tmp_path):
     job, args = job_from_args(
         "--brokers h:1 --topic t --group g --mapper csv_hour --output /o --partitions 4 --continuous".split()
     )
-    assert job.source.options["minOffsetsPerTrigger"] == str(4 * 262_144)
+    assert job._bounded(job.source).options["minOffsetsPerTrigger"] == str(4 * 262_144)
     assert args.continuous
     with pytest.raises(ValueError, match="missing: source, mapper"):
         job_from_args("--topic t --group g --output /o".split())
 
 
+def test_rollover_of_the_job_bounds_every_batch(spark, log_of, tmp_path, log_path):
+    for o in range(0, 9, 3):
+        append_log_files(log_of([(0, o + i, message(o)) for i in range(3)]).coalesce(1), log_path)
+    # A batch takes one file at least, and no more than the bound allows.
+    for rollover, commits in ((RolloverPolicy(max_chars=1), 3), (RolloverPolicy(), 1), (None, 1)):
+        job = job_for(tmp_path / str(rollover), FileLog(log_path), rollover=rollover)
+        job.run(spark)
+        assert OffsetLedger(spark, job.output).read().where("batch_id >= 0").count() == commits
+        assert offsets_of(job.committed(spark)) == [(0, o) for o in range(9)]
+
+
+def test_rollover_leaves_trigger_options_of_the_source(tmp_path):
+    own = FileLog("x", options={"maxFilesPerTrigger": "1"})
+    assert job_for(tmp_path, own)._bounded(own) is own
+    topic = KafkaLog("h:1", "t", n_partitions=3)
+    limits = job_for(tmp_path, topic)._bounded(topic).options
+    assert limits["maxOffsetsPerTrigger"] == str(3 * 262_144) and limits["maxTriggerDelay"] == "1800000ms"
+
+
+@pytest.mark.parametrize("starts", ["latest", '{"t": {"0": 5, "1": -1}}'])
+def test_bounded_read_of_a_topic_does_not_start_at_its_end(spark, starts):
+    with pytest.raises(ValueError, match="bounded read"):
+        KafkaLog("h:1", "t", starting_offsets=starts).read(spark)
+
+
 def test_rows_below_the_position_are_kept_as_rejects(spark, log_of, tmp_path, log_path):
     job = job_for(tmp_path, FileLog(log_path, options={"maxFilesPerTrigger": "1"}))
     append_log_files(log_of([(0, o, message(o)) for o in range(5, 10)]).coalesce(1), log_path)

@@ -66,6 +66,21 @@ def test_registry(log_of):
         mapping._REGISTRY.pop("upper_for_test")
 
 
+def test_mapper_by_module(log_of, tmp_path, monkeypatch):
+    (tmp_path / "own_mappers.py").write_text(
+        "class Echo:\n"
+        "    def eval(self, topic, partition, next_offset, key, message, parameters):\n"
+        "        yield 'echo', message\n"
+    )
+    monkeypatch.syspath_prepend(str(tmp_path))
+    assert get_mapper("siltbed.plans.sample_mappers:alerts").name == "alerts"
+    assert get_mapper("own_mappers:Echo").name == "own_mappers:Echo"
+    with pytest.raises(ValueError, match="no mapper named"):
+        get_mapper("own_mappers:Other")
+    with pytest.raises(ModuleNotFoundError):
+        get_mapper("no_such_module:Echo")
+
+
 def test_row_mapper_emits_zero_to_many(log_of):
     class Repeat:
         def eval(self, topic, partition, next_offset, key, message, parameters):
