@@ -7,23 +7,25 @@ others get one common level times their weight.
 
 Within a source, whole epochs come first. The rest of the target goes to
 documents in order of an exponential key, -ln(u) / w, where w is the quality
-weight and u comes from a hash of the id, so that reruns agree (Efraimidis and
-Spirakis, 2006: this order is weighted sampling without replacement). The words
+weight and u comes from a hash of the id, or of the text where the id is null, so
+that reruns agree (Efraimidis and Spirakis, 2006: this order is weighted sampling
+without replacement). The words
 before a document in that order are a prefix sum, taken in two steps: sums of
 key ranges per source, then within a range. So a source with a third of all rows
 is spread over as many tasks as it has ranges. The document in which the target
 falls is taken in part.
 
 Defined cases: a null text has size 0; the null source comes last; a source of
-size 0 has target 0; equal keys (repeated rows) follow each other in any order,
-which gives the same rows; a null id hashes like an empty one.
+size 0 has target 0; rows of one id have the u of that id, and equal keys follow
+each other by size, then by a hash of the text; rows of equal id, text and source
+are taken in any order, which gives the same rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import WORD_PATTERN, stored
@@ -33,6 +35,8 @@ from siltbed.operators.small_side import small_side
 WEIGHTS = (5, 2, 1)
 #: Characters that prose has few of; their share lowers the quality weight.
 NOISE = "!#$%&*|0123456789"
+#: What the mix says of a document.
+PLAN = ("size", "source_size", "target", "taken")
 
 
 @dataclass(frozen=True)
@@ -45,16 +49,17 @@ class MixingParameters:
 
 
 def sized(documents: DataFrame, seed: str) -> DataFrame:
-    """doc_id, source, size, key; the quality weight is between 1/2 and 1."""
+    """doc_id, th, source, size, key; ``th`` tells rows of one id apart; the quality weight is between 1/2 and 1."""
     text = F.coalesce(F.col("text"), F.lit(""))
     chars = F.length(text)
     noise = F.when(chars > 0, (chars - F.length(F.translate(text, NOISE, ""))) / chars).otherwise(F.lit(0.0))
     quality = 1.0 - 0.5 * F.least(F.lit(1.0), 4.0 * noise)
-    digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+    th = F.xxhash64("text")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null "), th.cast("string")))
+    digest = F.md5(F.concat(name, F.lit(f":{seed}")).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-    return documents.select(
-        "doc_id", "source", F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("size"), (-F.ln(u) / quality).alias("key")
-    )
+    size = F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("size")
+    return documents.select("doc_id", th.alias("th"), "source", size, (-F.ln(u) / quality).alias("key"))
 
 
 def targets(sizes: DataFrame, p: MixingParameters) -> DataFrame:
@@ -75,8 +80,11 @@ def targets(sizes: DataFrame, p: MixingParameters) -> DataFrame:
     )
 
 
-def mixed(documents: DataFrame, p: MixingParameters = MixingParameters()) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document."""
+def planned(documents: DataFrame, p: MixingParameters) -> DataFrame:
+    """doc_id, th, source, size, source_size, target, taken of every document, and whether it is repeated.
+
+    Repeated are rows of equal id, text and source.
+    """
     rows = stored(sized(documents, p.seed), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     goal = stored(targets(sizes, p), "targets").withColumnRenamed("source", "goal_source")
@@ -90,20 +98,51 @@ def mixed(documents: DataFrame, p: MixingParameters = MixingParameters()) -> Dat
     offsets = sums.select(
         F.col("source").alias("of_source"), F.col("range").alias("of_range"), F.coalesce(F.sum("words").over(along), F.lit(0)).alias("offset")
     )
-    inside = Window.partitionBy("source", "range").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = placed.withColumn("earlier", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
+    # Equal rows are neighbours in this order.
+    by_key = Window.partitionBy("source", "range").orderBy("key", "size", "th", "doc_id")
+    inside = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    row = F.struct("doc_id", "th")
+    repeated = row.eqNullSafe(F.lag(row).over(by_key)) | row.eqNullSafe(F.lead(row).over(by_key))
+    ordered = placed.withColumns({"earlier": F.coalesce(F.sum("size").over(inside), F.lit(0)), "repeated": repeated}).join(
         offsets, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("range") == F.col("of_range"))
     )
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("offset") - F.col("earlier")))
-    return ordered.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
+    taken = (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")
+    return ordered.select("doc_id", "th", "source", "size", "source_size", "target", taken, "repeated")
+
+
+def mixed(documents: DataFrame, p: MixingParameters = MixingParameters()) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every document."""
+    return planned(documents, p).select("doc_id", *PLAN)
+
+
+def _same_row() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")) & F.col("source").eqNullSafe(F.col("_source"))
 
 
 def mix_sources(documents: DataFrame, p: MixingParameters = MixingParameters()) -> DataFrame:
     """The documents that the mix takes words of, with their columns and size, source_size, target, taken.
 
-    Repeated ids must have equal rows here; the mix of a repeated row is that of its id's largest.
+    Every row has its own mix, whatever ids repeat; of repeated rows as many are kept as the mix takes words of.
     """
-    plan = mixed(documents, p).where(F.col("taken") > 0)
-    once = plan.groupBy(F.col("doc_id").alias("_id")).agg(*(F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")))
-    kept = documents.drop("size", "source_size", "target", "taken")
-    return kept.join(small_side(stored(once, "taken")), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    plan = stored(planned(documents, p).where(F.col("taken") > 0), "taken").withColumnsRenamed(
+        {"doc_id": "_id", "th": "_th", "source": "_source"}
+    )
+    kept = documents.drop(*PLAN)
+    once = kept.join(small_side(plan.where(~F.col("repeated"))), _same_row()).select(*kept.columns, *PLAN)
+    plan = plan.where("repeated")
+    if plan.isEmpty():
+        return once
+    # Copies are numbered on both sides and paired by number. Only narrow rows are numbered; the row names are stored
+    # with the rows, so that they stay the same.
+    key = ["_id", "_th", "_source"]
+    copies = stored(
+        kept.join(small_side(plan.select(*key).distinct()), _same_row()).withColumn("_row", F.monotonically_increasing_id()), "copies"
+    )
+    numbered = copies.select(*key, "_row").withColumn("_number", F.row_number().over(Window.partitionBy(*key).orderBy("_row")))
+    takes = plan.select(*(F.col(c).alias(f"of{c}") for c in key), *PLAN).withColumn(
+        "of_number", F.row_number().over(Window.partitionBy(*(f"of{c}" for c in key)).orderBy(F.desc("taken")))
+    )
+    pair = [F.col(c).eqNullSafe(F.col(f"of{c}")) for c in (*key, "_number")]
+    chosen = stored(numbered.join(takes, pair).select("_row", *PLAN), "chosen")
+    return once.unionByName(copies.join(small_side(chosen), "_row").select(*kept.columns, *PLAN))

@@ -289,6 +289,24 @@ def test_mixing(spark, hard):
     assert mixing.mix_sources(hard).columns[: len(hard.columns)] == hard.columns
 
 
+def test_mixing_keeps_rows_of_null_and_repeated_ids_apart(spark):
+    # Source a is capped at three times its 10 words, so b gives 70 of its 90: two of its rows at least have taken 0.
+    other, equal = [prose(100 + k, 9) for k in range(10)], [prose(100 + k, 9) for k in range(4)] + [prose(5, 9)] * 6
+    for ids, texts in (([None] * 11, other), ([None] * 11, equal), ([7] * 11, other)):
+        rows = [(ids[0], prose(1, 10), "a")] + [(i, t, "b") for i, t in zip(ids[1:], texts, strict=True)]
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+        got = mixing.mix_sources(frame).collect()
+        assert [r.taken for r in got if r.source == "a"] == [30]
+        assert sorted((r.taken for r in got if r.source == "b"), reverse=True) == [9] * 7 + [7]
+        assert all(r["size"] == len(r.text.split()) and r.source_size == (10 if r.source == "a" else 90) for r in got)
+        assert not Counter((r.doc_id, r.text, r.source) for r in got) - Counter(rows)
+
+
+def test_mixing_spreads_null_ids(spark):
+    frame = spark.createDataFrame([(None, prose(k, 9), "b") for k in range(40)], "doc_id bigint, text string, source string")
+    assert mixing.sized(frame, "mix").select("key").distinct().count() == 40
+
+
 def test_targets_share_out_the_excess(spark):
     sizes = spark.createDataFrame([("a", 10, 1), ("b", 90, 1), ("c", 100, 1), (None, 0, 1)], "source string, source_size bigint, n bigint")
     got = {r.source: r.target for r in mixing.targets(sizes, mixing.MixingParameters()).collect()}
