@@ -349,8 +349,9 @@ def _across(known: DataFrame, root: DataFrame, p: NearDuplicateParameters) -> Da
 
     If b resembles leader a, c resembles leader d, and b resembles c, then b is
     within twice the distance of d, and c of a; leaders were compared with their whole buckets.
+    The bound has slack for rounding: 1 - 2 * (1 - 0.8) is above 0.6 in floating point.
     """
-    close = 1.0 - 2.0 * (1.0 - p.similarity)
+    close = 1.0 - 2.0 * (1.0 - p.similarity) - 1e-9
     of = root.select(F.col("node").alias("member"), F.col("root").alias("class"))
     linked = known.where(F.col("sim") >= p.similarity).select("member", F.col("leader").alias("own"))
     border = (

@@ -144,6 +144,20 @@ def test_a_family_of_near_copies_is_one_class(spark):
     assert got == brute_classes(rows)
 
 
+def test_a_border_pair_at_the_bound_leads_to_its_link(spark):
+    w = [f"w{k}" for k in range(14)]
+    texts = {"a": [*w[2:], "x", "y"], "b": w[2:], "c": w, "d": w[:12]}
+    names = dict(zip(texts, bagminhash._bags_of([" ".join(t).encode() for t in texts.values()]), strict=True))
+    sims = {x + y: bagminhash.similarity(names[x], names[y]) for x in "abcd" for y in "abcd" if x != y}
+    assert [sims[k] for k in ("ab", "bc", "cd", "bd", "ad")] == [0.8, 0.8, 0.8, 0.6, 0.5]
+    # a and d led, so that the link of b and c was not compared.
+    rows = [(k[0].encode(), k[1].encode(), s) for k, s in sims.items() if k not in ("bc", "cb")]
+    known = spark.createDataFrame(rows, "leader binary, member binary, sim double")
+    root = spark.createDataFrame([(b"a", b"a"), (b"b", b"a"), (b"c", b"c"), (b"d", b"c")], "node binary, root binary")
+    found = bagminhash._across(known, root, bagminhash.NearDuplicateParameters()).collect()
+    assert {(bytes(r.leader), bytes(r.member)) for r in found} >= {(b"b", b"c")}
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     shingle = np.arange(1, 401, dtype=np.uint64)
