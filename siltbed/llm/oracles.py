@@ -134,10 +134,110 @@ select doc_id, item_id, n_shared, n_shingles, n_shared::double / n_shingles as c
 from m join q using (item_id) where n_shared * 1000 >= n_shingles * 800
 """
 
+_PHRASES = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+starts as (select lang, w[i:i+4] as w from (select lang, w, unnest(generate_series(1, len(w))) as i from w)),
+f as (
+  select lang, k, phrase, count(*) as f
+  from (select lang, k, array_to_string(w[1:k], ' ') as phrase from (select lang, w, unnest(generate_series(1, len(w))) as k from starts))
+  group by all
+),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k >= 2 and f >= 100),
+inside as (
+  select lang, phrase, max(a) as longer
+  from (
+    select lang, a, array_to_string(w[i:i+m-1], ' ') as phrase
+    from (select *, unnest(generate_series(1, k - m + 1)) as i from (select *, unnest(generate_series(2, k - 1)) as m from candidates where k > 2))
+  )
+  group by all
+),
+kept as (
+  select c.* from candidates c left join inside using (lang, phrase) where longer is null or 100 * longer < 100 * a
+),
+cuts as (
+  select lang, phrase, a, j, array_to_string(w[1:j], ' ') as fst, array_to_string(w[j+1:], ' ') as rst
+  from (select *, unnest(generate_series(1, k - 1)) as j from kept)
+),
+scored as (
+  select c.lang, c.phrase, c.a, c.j, fl.f as l, fr.f as r, n.n,
+    cast((1000::hugeint * c.a::hugeint * n.n::hugeint) // (fl.f::hugeint * fr.f::hugeint) as bigint) as score
+  from cuts c join f fl on fl.lang = c.lang and fl.phrase = c.fst
+    join f fr on fr.lang = c.lang and fr.phrase = c.rst join n on n.lang = c.lang
+),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1)
+select lang, rank, phrase, a, l, r, n, score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
+where rank <= 2000
+"""
+
+_ASSIGNED = """
+{name} as (
+  select vec_id, label, p, v, min(d * 64 + e) as best
+  from (
+    select parts.vec_id, parts.label, parts.p, parts.v, e,
+      list_sum([(parts.v[i] - b.v[i]) * (parts.v[i] - b.v[i]) for i in range(1, len(parts.v) + 1)])::bigint as d
+    from parts join {book} b on b.p = parts.p
+  )
+  group by all
+)"""
+
+_MOVED = """
+{name} as (
+  select b.p, b.e, coalesce(m.v, b.v) as v
+  from {book} b left join (
+    select p, e, list(x order by i) as v
+    from (
+      select p, e, i, ((s - ((s % n) + n) % n) // n)::bigint as x
+      from (
+        select p, e, i, sum(x)::bigint as s, count(*) as n
+        from (select p, best % 64 as e, unnest(v) as x, unnest(range(len(v))) as i from {assigned})
+        group by all
+      )
+    )
+    group by all
+  ) m on m.p = b.p and m.e = b.e
+)"""
+
+_CODES = f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as v,
+    row_number() over (order by vec_id) - 1 as nth
+  from embeddings where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as (
+  select vec_id, label, nth, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] as v
+  from (select *, unnest(range(16)) as p from kept)
+),
+book0 as (select p, nth as e, v from parts where nth < 64),
+{_ASSIGNED.format(name="assigned0", book="book0")},
+{_MOVED.format(name="book1", book="book0", assigned="assigned0")},
+{_ASSIGNED.format(name="assigned1", book="book1")},
+{_MOVED.format(name="book2", book="book1", assigned="assigned1")},
+{_ASSIGNED.format(name="assigned2", book="book2")},
+digest as (
+  select sha256(string_agg(x::varchar, ',' order by p, e, i)) as codebooks_sha256
+  from (select p, e, unnest(v) as x, unnest(range(len(v))) as i from book2)
+),
+coded as (
+  select vec_id, label, string_agg(printf('%02x', best % 64), '' order by p) as code, sum(best // 64)::bigint as error
+  from assigned2 group by vec_id, label
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded, digest
+"""
+
 ORACLES = {
     "op2_secrets": _SECRETS,
     "op3_recompression": _REPEATS,
     "op5_warc": _WARC,
     "op9_mixing": _MIXING,
     "op10_decontamination": _CONTAINED,
+    "op12_collocations": _PHRASES,
+    "op13_codes": _CODES,
 }

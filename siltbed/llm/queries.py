@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from siltbed.llm import (
     bagminhash,
+    bpe,
+    codes,
     decontaminate,
     fingerprints,
     mixing,
+    phrases,
     pii,
     quality,
     recompression,
@@ -61,6 +65,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.coded(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,5 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_mixing,
         op10_decontamination,
+        op11_bpe,
+        op12_collocations,
+        op13_codes,
     )
 }
