@@ -25,9 +25,9 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +46,8 @@ BUCKET_KEYS, TRIES = 4, 256
 #: Pre-tokens that are cut and looked up at a time.
 LOT = 1 << 17
 
-#: Merged pre-tokens that a task remembers before it starts anew.
-REMEMBERED = 1 << 17
+#: Merged pre-tokens of up to so many bytes that a task remembers, and how many before it starts anew.
+SHORT, REMEMBERED = 64, 1 << 19
 
 _PLACE = (1 << 40) - 1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -142,15 +142,21 @@ class Encoder:
         self.by_slot = pa.array(vocabulary.tokens, pa.binary())
         self.rank_of = dict(zip(vocabulary.tokens, vocabulary.ranks.tolist(), strict=True))
         self.length = {rank: len(token) for token, rank in self.rank_of.items()}
-        self.merged: dict[bytes, list[int]] = {}
+        # Ranks of two bytes, as the heap has them; merging starts with those.
+        self.pairs: list[int | None] = [None] * (1 << 16)
+        for token, rank in self.rank_of.items():
+            if len(token) == 2:
+                self.pairs[token[0] << 8 | token[1]] = rank << 40
+        self.merged: dict[bytes, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is no token itself."""
-        n, get, length = len(piece), self.rank_of.get, self.length
+        n, get, length, pairs = len(piece), self.rank_of.get, self.length, self.pairs
         after, before = range(1, n + 2), range(-1, n)
         after, before = (list(after), list(before)) if n < 1 << 12 else (array("q", after), array("q", before))
         # The rank comes first, then the place, so the leftmost of equal ranks is joined first.
-        heap = [r << 40 | i for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
+        two = zip(piece, piece[1:], strict=False)
+        heap = [r | i for i, (a, b) in enumerate(two) if (r := pairs[a << 8 | b]) is not None]
         heapq.heapify(heap)
         while heap:
             entry = heapq.heappop(heap)
@@ -173,6 +179,16 @@ class Encoder:
             i = after[i]
         return out
 
+    def merged_ids(self, piece: bytes) -> Sequence[int]:
+        found = self.merged.get(piece)
+        if found is None:
+            found = self.merge(piece)
+            if len(piece) <= SHORT:
+                if len(self.merged) == REMEMBERED:
+                    self.merged.clear()
+                found = self.merged[piece] = tuple(found)
+        return found
+
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pre-tokens end to end, and the number of each one's."""
         coded = pa.array(words, pa.string()).dictionary_encode()
@@ -187,16 +203,11 @@ class Encoder:
         else:
             known, flat, count = np.zeros(len(listed), bool), np.zeros(len(listed), np.int32), np.ones(len(listed), np.int64)
         start = np.arange(len(listed))
-        merged: list[int] = []
-        for k in np.flatnonzero(~known).tolist():
-            found = self.merged.get(listed[k])
-            if found is None:
-                if len(self.merged) == REMEMBERED:
-                    self.merged.clear()
-                found = self.merged[listed[k]] = self.merge(listed[k])
-            start[k], count[k] = len(listed) + len(merged), len(found)
-            merged += found
-        flat = np.concatenate([flat, np.array(merged, dtype=np.int32)])
+        missing = np.flatnonzero(~known)
+        merged = [self.merged_ids(listed[k]) for k in missing.tolist()]
+        sizes = np.fromiter(map(len, merged), np.int64, len(merged))
+        start[missing], count[missing] = len(listed) + np.cumsum(sizes) - sizes, sizes
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(merged), np.int32, sizes.sum())])
         counts = count[which]
         ends = np.cumsum(counts)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[which] - (ends - counts), counts)
