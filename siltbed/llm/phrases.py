@@ -5,9 +5,11 @@ the longest phrase wanted. A trie of them has the phrases as its nodes, and a
 node's count is the sum of the leaves below it. After the ERA method (Mansour and
 others, 2011) the trie is cut vertically, so that each part fits a budget:
 
-1. Words are counted. One that is rarer than the least count can be in no phrase
-   sought, so a suffix ends before it. Those words are known to tasks by a Bloom
-   filter of bounded size: a word let through by mistake only makes suffixes longer.
+1. Words are counted, then pairs of neighbours by their hashes. What is rarer than
+   the least count can be in no phrase sought, so a suffix ends before such a word
+   or within such a pair. The others are known to tasks by Bloom filters of bounded
+   size: what a filter, or a hash shared by two pairs, lets through by mistake only
+   makes suffixes longer.
 2. A prefix whose suffixes exceed the budget of a group is extended by a word, and
    the longer prefixes are counted, until all are within it or as long as a
    phrase. Prefixes within the budget are dealt to groups. So a word, or a whole
@@ -81,15 +83,16 @@ class PhraseParameters:
 
 @dataclass
 class Plan:
-    """What every task knows: the filter of frequent words, and sorted hashes of the heavy prefixes of each length."""
+    """What every task knows: filters of frequent words and pairs, and sorted hashes of the heavy prefixes of each length."""
 
     words: np.ndarray
+    pairs: np.ndarray | None
     heavy: list[np.ndarray]
     groups: int
 
     def shared(self, documents: DataFrame) -> Broadcast:
         """For tasks, which have no such module to load a class of it from: plain arrays."""
-        return documents.sparkSession.sparkContext.broadcast((self.words, list(self.heavy), self.groups))
+        return documents.sparkSession.sparkContext.broadcast((self.words, self.pairs, list(self.heavy), self.groups))
 
 
 def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
@@ -159,19 +162,16 @@ def _bits(hashes: np.ndarray, n: int) -> Iterator[np.ndarray]:
         yield (combine(hashes, np.full(1, k, np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
-def _filter(frequent: DataFrame, n_words: int, p: PhraseParameters) -> np.ndarray:
-    """Bits of a Bloom filter of the frequent words, packed; tasks make it up in parts."""
-    n = min(p.most_bits, max(1 << 10, n_words * p.bits))
+def _filter(hashes: DataFrame, p: PhraseParameters) -> np.ndarray:
+    """Bits of a Bloom filter of the frame's only column, packed, and their number; tasks make it up in parts."""
+    n = min(p.most_bits, max(1 << 10, hashes.count() * p.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column("lang").dictionary_encode()
-            for k, lang in enumerate(langs.dictionary.to_pylist()):
-                hashes = _hashes(lang, batch.column("word").filter(pc.equal(langs.indices, k)).to_pylist())
-                at = np.concatenate(list(_bits(hashes, n)))
-                yield pa.RecordBatch.from_arrays([pa.array(at // 64), pa.array(np.left_shift(1, at % 64))], ["at", "word"])
+            at = np.concatenate(list(_bits(batch.column(0).to_numpy().view(np.uint64), n)))
+            yield pa.RecordBatch.from_arrays([pa.array(at // 64), pa.array(np.left_shift(1, at % 64))], ["at", "word"])
 
-    parts = frequent.select("lang", "word").transform(mapped, run, "at bigint, word bigint")
+    parts = hashes.transform(mapped, run, "at bigint, word bigint")
     out = np.zeros(-(-n // 64), dtype=np.int64)
     # At most one row for each word of the filter, which has a bounded size.
     for batch in parts.groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_batches():
@@ -179,6 +179,17 @@ def _filter(frequent: DataFrame, n_words: int, p: PhraseParameters) -> np.ndarra
     return np.concatenate([out, np.array([n])])
 
 
+def _hashed(words: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column("lang").dictionary_encode()
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                hashes = _hashes(lang, batch.column("word").filter(pc.equal(langs.indices, k)).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
+
+    return words.select("lang", "word").transform(mapped, run, "h bigint")
+
+
 def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     n, out = int(bits[-1]), np.ones(len(hashes), dtype=bool)
     for at in _bits(hashes, n):
@@ -209,17 +220,23 @@ def _suffixes(batches: Iterator[pa.RecordBatch], plan: Plan, longest: int) -> It
                 continue
             hashes = _hashes(lang, distinct.to_pylist())
             fine = _has(plan.words, hashes)
+            of_lang = np.full(1, xxhash.xxh3_64_intdigest(lang), np.uint64)
+            first_words = combine(of_lang, hashes)
             for a in range(0, len(code), LOT):
                 b = min(len(code), a + LOT)
                 # Words of the lot, with those that its last suffixes reach into.
                 c, at = code[a : b + longest - 1], piece[a : b + longest - 1]
                 ok = fine[c]
+                joined = ok[1:] & ok[:-1] & (at[1:] == at[:-1])
+                if plan.pairs is not None:
+                    some = np.flatnonzero(joined)
+                    joined[some] = _has(plan.pairs, combine(first_words[c[some]], hashes[c[some + 1]]))
                 n = b - a
                 columns, goes_on = np.full((n, longest), -1, dtype=np.int64), np.ones(n, dtype=bool)
                 for k in range(longest):
                     have = max(0, min(n, len(c) - k))
                     goes_on[have:] = False
-                    goes_on[:have] &= ok[k : k + have] & (at[k : k + have] == at[:have])
+                    goes_on[:have] &= joined[k - 1 : k - 1 + have] if k else ok[:have]
                     live = np.flatnonzero(goes_on)
                     columns[live, k] = c[live + k]
                 columns = columns[columns[:, 1] >= 0]
@@ -239,7 +256,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], plan: Plan, longest: int) -> It
                 first = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]))
                 columns = columns[order[first]]
                 prefix = np.zeros((len(columns), longest), dtype=np.uint64)
-                so_far = np.full(len(columns), np.uint64(xxhash.xxh3_64_intdigest(lang)))
+                so_far = np.repeat(of_lang, len(columns))
                 for k in range(longest):
                     some = columns[:, k] >= 0
                     so_far = np.where(some, combine(so_far, hashes[columns[:, k]]), so_far)
@@ -255,6 +272,18 @@ def _is_heavy(plan: Plan, s: Suffixes, length: int) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
 
 
+def _pair_counts(documents: DataFrame, held: Broadcast) -> DataFrame:
+    """(prefix, n) of the hashes of neighbouring frequent words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _suffixes(batches, Plan(*held.value), 2):
+            columns = [pa.array(s.prefix[:, 1].view(np.int64)), pa.array(s.n)]
+            yield pa.RecordBatch.from_arrays(columns, ["prefix", "n"])
+
+    found = documents.select("text", "lang").transform(mapped, run, "prefix bigint, n bigint")
+    return found.groupBy("prefix").agg(F.sum("n").alias("n"))
+
+
 def _heavier(documents: DataFrame, held: Broadcast, length: int, budget: int, p: PhraseParameters) -> np.ndarray:
     """Hashes of the prefixes of ``length`` words that extend heavy ones and have more suffixes than the budget."""
     longest = p.longest
@@ -268,8 +297,12 @@ def _heavier(documents: DataFrame, held: Broadcast, length: int, budget: int, p:
             yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], ["prefix", "n"])
 
     found = documents.select("text", "lang").transform(mapped, run, "prefix bigint, n bigint")
-    heavy = found.groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > budget).select("prefix")
-    # No more than all words over the budget.
+    return _over(found.groupBy("prefix").agg(F.sum("n").alias("n")), budget)
+
+
+def _over(prefixes: DataFrame, budget: int) -> np.ndarray:
+    """Sorted hashes of the prefixes with more suffixes than the budget: no more than all words over the budget."""
+    heavy = prefixes.where(F.col("n") > budget).select("prefix")
     return np.sort(heavy.toArrow().column("prefix").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -387,13 +420,14 @@ def phrase_counts(documents: DataFrame, p: PhraseParameters = PhraseParameters()
     n_words = words.agg(F.sum("n")).first()[0] or 0
     low, high = p.budget
     budget = max(min(high, max(low, n_words // p.share)), n_words // p.most_heavy)
-    n_frequent = frequent.count()
-    plan = Plan(_filter(frequent, n_frequent, p), [np.zeros(0, np.uint64)] * p.longest, max(1, 2 * n_words // budget))
+    plan = Plan(_filter(_hashed(frequent), p), None, [np.zeros(0, np.uint64)] * p.longest, max(1, 2 * n_words // budget))
     # Words over the budget are few: no more than all words over the budget.
     heavy = frequent.where(F.col("n") > budget).select("lang", "word").toArrow().to_pylist()
     first = [combine(np.array([xxhash.xxh3_64_intdigest(w["lang"])], np.uint64), _hashes(w["lang"], [w["word"]])) for w in heavy]
     plan.heavy[0] = np.sort(np.concatenate([np.zeros(0, np.uint64), *first]))
-    for length in range(2, p.longest + 1):
+    pairs = stored(_pair_counts(documents, plan.shared(documents)).where(F.col("n") >= p.least), "pairs")
+    plan.pairs, plan.heavy[1] = _filter(pairs.select("prefix"), p), _over(pairs, budget)
+    for length in range(3, p.longest + 1):
         if not len(plan.heavy[length - 2]):
             break
         plan.heavy[length - 1] = _heavier(documents, plan.shared(documents), length, budget, p)
