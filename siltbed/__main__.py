@@ -63,7 +63,7 @@ def job_from_args(argv: list[str] | None = None) -> tuple[LandingJob, argparse.N
 def main(argv: list[str] | None = None) -> None:
     job, args = job_from_args(argv)
     spark = SparkSession.builder.appName(job.app_name).getOrCreate()
-    # The job's rollover limits bound a batch; the next one follows at once, so they put no ceiling on throughput.
+    # The job's rollover limits bound a batch by the cluster and its measured rate; the next one follows at once.
     job.start(spark, processing_time="0 seconds" if args.continuous else None).awaitTermination()
 
 

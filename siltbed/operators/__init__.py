@@ -1,4 +1,4 @@
-from siltbed.operators.committed import committed_read
+from siltbed.operators.committed import committed_read, disjoint_ranges
 from siltbed.operators.mapping import (
     Mapper,
     accepted,
@@ -8,12 +8,13 @@ from siltbed.operators.mapping import (
     rejected,
     row_mapper,
 )
-from siltbed.operators.metrics import RolloverPolicy, batch_commit_metrics, rollover_reason
+from siltbed.operators.metrics import RolloverPolicy, batch_commit_metrics, read_rate, rollover_reason
 from siltbed.operators.offsets import (
     incremental_scan,
     ledger_heads,
     next_offset,
     partition_bounds,
+    repeated_messages,
     resolve_start,
     start_position,
 )
@@ -27,11 +28,14 @@ __all__ = [
     "batch_commit_metrics",
     "committed_read",
     "csv_hour_mapper",
+    "disjoint_ranges",
     "get_mapper",
     "incremental_scan",
     "ledger_heads",
     "next_offset",
     "partition_bounds",
+    "read_rate",
+    "repeated_messages",
     "register_mapper",
     "rejected",
     "resolve_start",

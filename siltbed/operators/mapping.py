@@ -80,8 +80,9 @@ def register_mapper(
     """Decorator: make a DataFrame transform available to jobs under ``name``.
 
     ``inputs`` are the message columns it reads; a stream fetches no others.
-    ``total`` promises at least one output row, landed or rejected, for every
-    message, which lets a job learn a batch's offsets from what it wrote.
+    ``total`` promises exactly one output row, landed or rejected, for every
+    message, with the message as its line, which lets a job learn a batch's
+    offsets and size from what it wrote.
     """
 
     def add(transform: Callable[..., DataFrame]) -> Callable[..., DataFrame]:

@@ -26,16 +26,21 @@ class RolloverPolicy:
     max_routes: int = 20
     mean_message_chars: int = 256
 
-    def kafka_options(self, n_partitions: int = 1) -> dict[str, str]:
-        offsets = max(1, self.max_chars // self.mean_message_chars) * n_partitions
+    def admitted_chars(self, width: int = 1, chars_per_ms: float = 0.0) -> int:
+        """Characters of the next batch: the size threshold for each of ``width`` readers, or, if that is more,
+        what the measured rate reads within the age threshold. So a batch grows with the cluster and its throughput."""
+        return max(self.max_chars * max(1, width), int(chars_per_ms * self.max_age_ms))
+
+    def kafka_options(self, width: int = 1, chars_per_ms: float = 0.0) -> dict[str, str]:
+        offsets = max(1, self.admitted_chars(width, chars_per_ms) // self.mean_message_chars)
         return {
             "minOffsetsPerTrigger": str(offsets),
             "maxOffsetsPerTrigger": str(offsets),
             "maxTriggerDelay": f"{self.max_age_ms}ms",
         }
 
-    def file_options(self, n_partitions: int = 1) -> dict[str, str]:
-        return {"maxBytesPerTrigger": str(self.max_chars * n_partitions)}
+    def file_options(self, width: int = 1, chars_per_ms: float = 0.0) -> dict[str, str]:
+        return {"maxBytesPerTrigger": str(self.admitted_chars(width, chars_per_ms))}
 
     def processing_time(self) -> str:
         return f"{self.max_age_ms} milliseconds"
@@ -66,3 +71,12 @@ def rollover_reason(
         .when(age_ms >= policy.max_age_ms, "age")
         .when(n_routes >= policy.max_routes, "paths")
     )
+
+
+def read_rate(commits: DataFrame, last: int = 16) -> float:
+    """Characters per millisecond over the last commits of a ledger; 0.0 where none has times."""
+    timed = commits.where(F.col("committed_ms") > F.col("opened_ms")).groupBy("commit_key")
+    each = timed.agg(F.sum("fetch_chars").alias("chars"), F.max("committed_ms").alias("at"), F.min("opened_ms").alias("opened"))
+    recent = each.orderBy(F.desc("at")).limit(last)
+    row = recent.agg(F.sum("chars").alias("chars"), F.sum(F.col("at") - F.col("opened")).alias("ms")).first()
+    return float(row["chars"]) / row["ms"] if row["ms"] and row["chars"] else 0.0

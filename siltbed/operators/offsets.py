@@ -32,6 +32,43 @@ def partition_bounds(log: DataFrame) -> DataFrame:
     )
 
 
+# Offsets whose digest is made at a time where a range is compared with what was read of it.
+BLOCK = 1 << 16
+
+
+def _whole_digest(ranges: DataFrame) -> DataFrame:
+    """Exclusive or of the hashes of all offsets of every range (topic, partition, start_offset, next_offset)."""
+    last = F.col("next_offset") - 1
+    block = F.sequence(F.col("a"), F.least(F.col("a") + (BLOCK - 1), last))
+    digest = F.aggregate(block, F.lit(0).cast("bigint"), lambda d, o: d.bitwiseXOR(F.xxhash64(o)))
+    blocks = ranges.select(*KEYS, "next_offset", F.explode(F.sequence(F.col("start_offset"), last, F.lit(BLOCK))).alias("a"))
+    return blocks.select(*KEYS, digest.alias("d")).groupBy(*KEYS).agg(F.bit_xor("d").alias("whole_digest"))
+
+
+def repeated_messages(rows: DataFrame, ranges: DataFrame) -> DataFrame | None:
+    """(topic, partition, offset) of messages that ``rows`` holds more than once; None if there are none.
+
+    ``ranges`` has (topic, partition, start_offset, next_offset, n_messages, digest)
+    of the rows, the digest being the exclusive or of the offsets' hashes. A
+    partition with as many messages as its range has offsets and that range's
+    digest holds each offset once: nothing moves for it. Only rows of other
+    partitions, with gaps or repeats, are grouped by offset, without their text.
+    """
+    odd = (
+        ranges.join(_whole_digest(ranges), KEYS)
+        .where(
+            (F.col("n_messages") != F.col("next_offset") - F.col("start_offset"))
+            | (F.col("digest") != F.col("whole_digest"))
+        )
+        .select(*KEYS)
+    )
+    if odd.isEmpty():
+        return None
+    narrow = rows.select(*KEYS, "offset").join(small_side(odd), KEYS, "left_semi")
+    repeated = narrow.groupBy(*KEYS, "offset").agg(F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
+    return None if repeated.isEmpty() else repeated
+
+
 def ledger_heads(ledger: DataFrame, group: str) -> DataFrame:
     """Saved next offset per topic-partition for one consumer group."""
     return (

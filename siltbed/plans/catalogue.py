@@ -42,9 +42,11 @@ from siltbed.streaming import (
     LandingJob,
     OffsetLedger,
     append_log_files,
+    export_named_text,
     export_text,
     payload_of,
     read_landed,
+    read_named_text,
     read_text,
 )
 
@@ -295,11 +297,30 @@ def landed_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.committed(spark).select(*LANDED_COLUMNS)
 
 
+def _exported(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of named text files with what their names tell."""
+    name = r"^([^/]+)/([^/]+)/([0-9]+)-([0-9]+)[.]([0-9]+)[.]"
+    part = [F.regexp_extract("file_name", name, i) for i in range(6)]
+    return read_named_text(spark, path).select(
+        part[1].alias("topic"),
+        F.to_date(part[2], "y-M-d").alias("event_day"),
+        part[3].cast("int").alias("event_hour"),
+        part[4].cast("int").alias("partition"),
+        part[5].cast("bigint").alias("start_offset"),
+        "line",
+    )
+
+
+def _export(log: DataFrame, path: str) -> None:
+    starts = partition_bounds(log).select("topic", "partition", F.col("earliest").alias("start_offset"))
+    export_named_text(accepted(csv_hour_mapper(log)), path, starts)
+
+
 @query
 def text_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "text")
-    export_text(accepted(csv_hour_mapper(messages(spark, sf_dir))), path)
-    return read_text(spark, path).drop("partition", "start_offset")
+    _export(messages(spark, sf_dir), path)
+    return _exported(spark, path)
 
 
 @query
@@ -307,7 +328,25 @@ def text_export_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two exports, one for each half of the log: hours they share keep the lines of both."""
     path = scratch_dir(spark, "text")
     for half in _halves(messages(spark, sf_dir)):
-        export_text(accepted(csv_hour_mapper(half)), path)
+        _export(half, path)
+    return _exported(spark, path)
+
+
+@query
+def text_export_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with the name of its file; exporting the second half again replaces its files."""
+    path = scratch_dir(spark, "text")
+    first, second = _halves(messages(spark, sf_dir))
+    for half in (first, second, second):
+        _export(half, path)
+    return read_named_text(spark, path)
+
+
+@query
+def text_export_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines by Spark's own text writer, which has further codecs, under folders."""
+    path = scratch_dir(spark, "text")
+    export_text(accepted(csv_hour_mapper(messages(spark, sf_dir))), path)
     return read_text(spark, path).drop("partition", "start_offset")
 
 
@@ -395,6 +434,77 @@ def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.where(F.col("n_batches") > 1)
 
 
+@query
+def commit_metrics_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and range of the input of three commits by a mapper that drops and multiplies messages.
+
+    The second half lands first, in one batch with no late message; then the first half comes late for even
+    partitions, whose messages are rejects and count for nothing, and in order for none.
+    """
+    log = messages(spark, sf_dir)
+    job = _job(spark, log, mapper="alerts")
+    nothing = OffsetLedger(spark, job.output).heads(GROUP)
+    first, second = _halves(log)
+    job.land_batch(second, 0, nothing, commit_key="a")
+    odd = F.col("partition") % 2 == 1
+    mixed = first.where(~odd).unionByName(log.where(odd).withColumn("offset", F.col("offset") + 10_000_000))
+    job.land_batch(mixed, 1, nothing, commit_key="b", keep_late=True)
+    return job.commit_metrics(spark).drop("opened_ms", "committed_ms")
+
+
+@query
+def repeated_messages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh offset is in the log twice; each message lands once."""
+    log = messages(spark, sf_dir)
+    job = _job(spark, log.unionByName(log.where(F.col("offset") % 7 == 0)))
+    job.run_batch(spark)
+    return read_landed(spark, job.output).select(*LANDED_COLUMNS)
+
+
+@query
+def committed_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers land overlapping ranges, neither knowing of the other: the first commit's rows are shown.
+
+    Each line comes with the commit that it is shown from.
+    """
+    log = messages(spark, sf_dir)
+    bounds = _bounds(log)
+    job = _job(spark, log)
+    nothing = OffsetLedger(spark, job.output).heads(GROUP)
+    thirds = small_side(bounds.select("topic", "partition", F.call_function("div", F.col("latest"), F.lit(3)).alias("third")))
+    placed = log.join(thirds, ["topic", "partition"])
+    lower = placed.where(F.col("offset") < 2 * F.col("third")).drop("third")
+    upper = placed.where(F.col("offset") >= F.col("third")).drop("third")
+    batches = (("lower", lower), ("upper", upper))
+    for key, batch in batches:
+        job.land_batch(batch, 0, nothing, commit_key=key, commit=False)
+    ledger = OffsetLedger(spark, job.output)
+    for at, (key, batch) in enumerate(batches):
+        ranges = partition_bounds(batch).withColumnsRenamed({"earliest": "start_offset", "latest": "next_offset"})
+        entry = {"grp": F.lit(GROUP), "batch_id": F.lit(0).cast("bigint"), "commit_key": F.lit(key)}
+        ledger.append(ranges.withColumns({**entry, "committed_ms": F.lit(at).cast("bigint")}))
+    return job.committed(spark).select(*LANDED_COLUMNS, "commit_key")
+
+
+@query
+def rollover_of_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why each of three commits was due, by the size, age and routes that the ledger and the table record.
+
+    The log's parts are opened and committed at given times, so the second is over the age limit.
+    """
+    log = messages(spark, sf_dir)
+    times = iter((0, 600_000, 600_000, 2_500_000, 2_500_000, 2_500_500))
+    job = _job(spark, log, clock=lambda: next(times))
+    block = F.call_function("div", F.col("offset"), F.lit(ROLLOVER_BLOCK))
+    for batch_id in range(3):
+        part = log.where(block == batch_id) if batch_id < 2 else log.where(block == 2).where(F.col("offset") % 8 == 0)
+        job.land_batch(part, batch_id)
+    metrics = job.commit_metrics(spark).withColumn("age_ms", F.col("committed_ms") - F.col("opened_ms"))
+    reason = rollover_reason(F.col("fetch_chars"), F.col("age_ms"), F.col("n_routes"), SMALL_POLICY)
+    columns = ["topic", "partition", "batch_id", "n_messages", "fetch_chars", "n_routes", "start_offset", "next_offset", "age_ms"]
+    return metrics.select(*columns, reason.alias("rollover_reason"))
+
+
 # -- mappers chosen by name ----------------------------------------------------
 
 

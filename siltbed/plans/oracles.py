@@ -57,9 +57,11 @@ from bounds
 
 
 def _with(sql: str) -> str:
+    # A body may have tables of its own.
+    own, sql = (f", {sql.strip()[5:]}", "") if sql.strip().startswith("with ") else ("", sql)
     return f"""
 with messages as ({DUCKDB_MESSAGES}), fields as ({_FIELDS}), parsed as ({_PARSED}), routed as ({_ROUTED}),
-sized as ({_CHARS}), bounds as ({_BOUNDS}), starts as ({_STARTS})
+sized as ({_CHARS}), bounds as ({_BOUNDS}), starts as ({_STARTS}){own}
 {sql}
 """
 
@@ -138,8 +140,42 @@ from ({_metrics(f'"offset" // {ROLLOVER_BLOCK} as batch_no,')})""",
     "landed_lines": _LANDED,
     "landed_rejects": f"select {KEYS}, value, reject_reason from routed where reject_reason is not null",
     "landed_rebalanced": _LANDED,
-    "text_export": "select topic, event_day, event_hour, value as line from routed where reject_reason is null",
-    "text_export_late": "select topic, event_day, event_hour, value as line from routed where reject_reason is null",
+    "text_export": """
+select topic, event_day, event_hour, "partition", earliest as start_offset, value as line
+from routed join bounds using (topic, "partition") where reject_reason is null""",
+    "text_export_late": f'select topic, event_day, event_hour, "partition", start_offset, line from ({_TWO_BATCHES})',
+    "text_export_named": f"""
+select topic || '/' || year(event_day) || '-' || month(event_day) || '-' || day(event_day) || '/' || event_hour
+  || '-' || "partition" || '.' || start_offset || '.gz' as file_name, line
+from ({_TWO_BATCHES})""",
+    "text_export_folders": "select topic, event_day, event_hour, value as line from routed where reject_reason is null",
+    "commit_metrics_fanout": """
+with halves as (select * from sized join bounds using (topic, "partition")),
+landed as (
+  select topic, "partition", 'a' as commit_key, 0 as batch_id, "offset", chars, value from halves where "offset" >= latest // 2
+  union all
+  select topic, "partition", 'b', 1, "offset" + 10000000, chars, value from halves where "partition" % 2 = 1
+)
+select topic, "partition", commit_key, cast(batch_id as bigint) as batch_id, count(*) as n_messages, cast(sum(chars) as bigint) as fetch_chars,
+  min("offset") as start_offset, max("offset") + 1 as next_offset,
+  cast(max(case when value is null then 0 else 1 end)
+    + count(distinct case when string_split(value, ',')[3] in ('error', 'purchase') then string_split(value, ',')[3] end) as bigint) as n_routes
+from landed group by all
+union all
+select topic, "partition", 'b', 1, 0, 0, latest, latest, 0 from bounds where "partition" % 2 = 0""",
+    "repeated_messages": _LANDED,
+    "committed_overlap": f"""
+select {KEYS}, event_day, event_hour, value as line, case when "offset" < 2 * (latest // 3) then 'lower' else 'upper' end as commit_key
+from routed join bounds using (topic, "partition") where reject_reason is null""",
+    "rollover_of_commits": f"""
+select *, case when fetch_chars >= {SMALL_POLICY.max_chars} then 'size'
+  when age_ms >= {SMALL_POLICY.max_age_ms} then 'age' when n_routes >= {SMALL_POLICY.max_routes} then 'paths' end as rollover_reason
+from (
+  select topic, "partition", "offset" // {ROLLOVER_BLOCK} as batch_id, count(*) as n_messages, cast(sum(chars) as bigint) as fetch_chars,
+    count(distinct route) as n_routes, min("offset") as start_offset, max("offset") + 1 as next_offset,
+    cast(case "offset" // {ROLLOVER_BLOCK} when 0 then 600000 when 1 then 1900000 else 500 end as bigint) as age_ms
+  from sized where "offset" // {ROLLOVER_BLOCK} < 2 or ("offset" // {ROLLOVER_BLOCK} = 2 and "offset" % 8 = 0)
+  group by all)""",
     "late_file_log": f"""
 select {KEYS}, case when "offset" < latest // 2 then 'behind_position' else coalesce(reject_reason, 'landed') end as outcome
 from routed join bounds using (topic, "partition")""",

@@ -21,10 +21,11 @@ def _schema(columns: str) -> T.StructType:
 
 LOG_SCHEMA = _schema("topic string, partition int, offset bigint, key string, value string")
 
-# One row per topic-partition and commit; next_offset is exclusive.
+# One row per topic-partition and commit; next_offset is exclusive. Messages and characters are those the batch
+# read at or past the saved position; the times are epoch milliseconds of the batch's start and its ledger entry.
 LEDGER_SCHEMA = _schema(
     "topic string, grp string, partition int, start_offset bigint, next_offset bigint, "
-    "batch_id bigint, commit_key string"
+    "batch_id bigint, commit_key string, n_messages bigint, fetch_chars bigint, opened_ms bigint, committed_ms bigint"
 )
 
 # Start-offset input: latest is exclusive.
@@ -41,6 +42,6 @@ def messages_schema(buckets: T.StructType) -> T.StructType:
     Declared in full, because the type of a directory column would otherwise be
     guessed from its text.
     """
-    data = _schema("partition int, offset bigint, line string, reject_reason string")
+    data = _schema("partition int, offset bigint, line string, reject_reason string, chars int")
     directories = _schema("commit_key string, outcome string, topic string")
     return T.StructType([*data.fields, *directories.fields, *buckets.fields])

@@ -1,11 +1,13 @@
 from siltbed.streaming.landing import LandingJob, OutOfOrderError
 from siltbed.streaming.sinks import (
     append_log_files,
+    export_named_text,
     export_text,
     payload_of,
     produce,
     producer_options,
     producer_payload,
+    read_named_text,
     read_text,
 )
 from siltbed.streaming.tables import OffsetLedger, read_landed, read_rejected, write_messages
@@ -15,6 +17,7 @@ __all__ = [
     "OffsetLedger",
     "OutOfOrderError",
     "append_log_files",
+    "export_named_text",
     "export_text",
     "payload_of",
     "produce",
@@ -22,6 +25,7 @@ __all__ = [
     "producer_payload",
     "read_landed",
     "read_rejected",
+    "read_named_text",
     "read_text",
     "write_messages",
 ]

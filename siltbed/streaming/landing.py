@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import Future
@@ -27,19 +28,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from siltbed.functions import hour_route
-from siltbed.operators.committed import committed_read
+from siltbed.functions import hour_route, utf16_length
+from siltbed.operators.committed import committed_read, disjoint_ranges
 from siltbed.operators.mapping import Mapper, get_mapper
-from siltbed.operators.metrics import RolloverPolicy, batch_commit_metrics
-from siltbed.operators.offsets import EARLIEST, KEYS, partition_bounds, resolve_start
+from siltbed.operators.metrics import RolloverPolicy, read_rate
+from siltbed.operators.offsets import EARLIEST, KEYS, next_offset, partition_bounds, repeated_messages, resolve_start
 from siltbed.operators.small_side import MAX_BROADCAST_ROWS, small_side
 from siltbed.sources.log import FileLog, FrameLog, KafkaLog, kafka_starting_offsets
 from siltbed.streaming.tables import (
+    REJECTED,
     OffsetLedger,
     path_exists,
     read_commit,
     read_landed,
-    read_messages,
     read_or_empty,
     read_rejected,
     write_messages,
@@ -55,6 +56,10 @@ OPENING_BATCH = -1
 BEHIND_POSITION = "behind_position"
 
 
+def _now_ms() -> int:
+    return time.time_ns() // 1_000_000
+
+
 class OutOfOrderError(RuntimeError):
     """A batch holds offsets below the position this run has already committed."""
 
@@ -70,7 +75,10 @@ class LandingJob:
 
     ``rollover`` bounds the batches of a stream, those of a backlog too; None
     leaves them unbounded, and a source with trigger options of its own keeps
-    those. ``n_partitions`` is the number of partitions the bound is for.
+    those. The bound is for ``n_partitions`` partitions, by default as many as the
+    cluster has task slots, or what the last commits' rate reads within the
+    policy's age, if that is more. ``clock`` gives the epoch milliseconds that a
+    commit is opened and closed at.
     """
 
     source: FileLog | FrameLog | KafkaLog | None = None
@@ -87,6 +95,7 @@ class LandingJob:
     rollover: RolloverPolicy | None = field(default_factory=RolloverPolicy)
     n_partitions: int | None = None
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    clock: Callable[[], int] = _now_ms
 
     def __post_init__(self):
         missing = [name for name in REQUIRED if not getattr(self, name)]
@@ -102,14 +111,14 @@ class LandingJob:
         """Start the query: everything available now and stop, or one batch per interval."""
         if isinstance(self.source, FrameLog):
             raise ValueError("a DataFrame cannot be streamed; use run_batch, or a FileLog or KafkaLog")
-        source = self._bounded(self._open(spark))
+        source = self._bounded(self._open(spark), spark)
         opening = small_side(self._opening(spark), self.max_broadcast_rows)
         log = source.stream(spark).where(F.col("topic") == self.topic)
         query_id: Future[str] = Future()
 
         def land(batch: DataFrame, batch_id: int) -> None:
             key = f"{query_id.result()}-{batch_id}"
-            self.land_batch(batch, batch_id, opening, commit_key=key, prunable=False, keep_late=True)
+            self.land_batch(batch, batch_id, opening, commit_key=key, keep_late=True)
 
         trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
         query = (
@@ -131,18 +140,19 @@ class LandingJob:
     def run_batch(self, spark: SparkSession, batch_id: int = 0) -> None:
         """Land the source's current content as one bounded batch, without a checkpoint."""
         log = self._open(spark).read(spark)
-        prunable = not isinstance(self.source, KafkaLog)
-        self.land_batch(log.where(F.col("topic") == self.topic), batch_id, prunable=prunable)
+        self.land_batch(log.where(F.col("topic") == self.topic), batch_id)
 
-    def _bounded(self, source: FileLog | KafkaLog) -> FileLog | KafkaLog:
+    def _bounded(self, source: FileLog | KafkaLog, spark: SparkSession | None = None) -> FileLog | KafkaLog:
         """The source with the rollover limits as its trigger options."""
         if self.rollover is None or any("pertrigger" in option.lower() for option in source.options):
             return source
-        if isinstance(source, KafkaLog):
-            limits = self.rollover.kafka_options(self.n_partitions or source.n_partitions or 1)
-        else:
-            limits = self.rollover.file_options(self.n_partitions or 1)
-        return replace(source, options={**limits, **source.options})
+        width, rate = self.n_partitions or getattr(source, "n_partitions", None), 0.0
+        if spark is not None:
+            width = width or spark.sparkContext.defaultParallelism
+            commits = OffsetLedger(spark, self.output).commits(self.group)
+            rate = read_rate(commits.where(F.col("topic") == self.topic))
+        options = self.rollover.kafka_options if isinstance(source, KafkaLog) else self.rollover.file_options
+        return replace(source, options={**options(width or 1, rate), **source.options})
 
     def _opening(self, spark: SparkSession) -> DataFrame:
         """Saved positions when the checkpoint was new; a query that resumes keeps those."""
@@ -197,7 +207,6 @@ class LandingJob:
         opening: DataFrame | None = None,
         *,
         commit_key: str | None = None,
-        prunable: bool = True,
         keep_late: bool = False,
         commit: bool = True,
     ) -> None:
@@ -208,83 +217,133 @@ class LandingJob:
         skipped. Other rows below the current position are out of order: an error,
         or with ``keep_late`` rejects with a reason.
 
-        Offset ranges cover accepted, rejected and dropped messages alike. Where
-        ``prunable``, they are a scan of the batch's offset columns. Otherwise the
-        batch would be read whole again for them, so they are taken from the rows
-        just written if the mapper is total, and from a persisted batch if not.
+        The batch is read once. A total mapper's rows are the messages, so late ones
+        are marked among its output, and offset ranges and sizes are read back from
+        narrow columns of the files just written. Another mapper may drop or repeat messages, so its
+        batch is persisted and measured there. Ranges and sizes cover accepted,
+        rejected and dropped messages alike. A message that the batch holds twice
+        lands once: the batch is then written again.
 
         ``commit=False`` leaves the rows provisional, as a failure just before the
         ledger write would.
         """
+        opened_ms = self.clock()
         ledger = OffsetLedger(batch.sparkSession, self.output)
         if commit_key is None:
             commit_key = f"{uuid.uuid4()}-{batch_id}"
         elif ledger.has_commit(commit_key):
             LOGGER.info("batch %s is already committed", batch_id)
             return
-        if opening is None:
-            opening = small_side(ledger.heads(self.group), self.max_broadcast_rows)
-        fresh = (
+        heads = small_side(ledger.heads(self.group), self.max_broadcast_rows)
+        rows = (
             self._inputs(batch)
-            .join(opening, KEYS, "left")
+            .join(heads if opening is None else opening, KEYS, "left")
             .where(F.col("saved_offset").isNull() | (F.col("offset") >= F.col("saved_offset")))
             .drop("saved_offset")
         )
-        late = None
-        if keep_late:
-            heads = small_side(ledger.heads(self.group), self.max_broadcast_rows)
-            placed = fresh.join(heads, KEYS, "left")
-            is_late = F.coalesce(F.col("offset") < F.col("saved_offset"), F.lit(False))
-            late, fresh = placed.where(is_late), placed.where(~is_late).drop("saved_offset")
-        kept = [] if prunable or self.mapper.total else [fresh.persist(StorageLevel.MEMORY_AND_DISK)]
+        kept: list[DataFrame] = []
         try:
-            ranges = None
-            if prunable:
-                ranges = self._checked_ranges(fresh, ledger, kept)
-                if ranges is None:
-                    return
-            mapped = self.mapper(fresh, **self._mapper_arguments())
+            if not self.mapper.total:
+                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                kept.append(rows)
+            write = self._write_total if self.mapper.total else self._write_other
+            messages, late = write(rows, heads, commit_key, keep_late)
+            ranges = self._checked_ranges(messages, heads, kept)
+            repeated = None if ranges is None else repeated_messages(messages, ranges)
+            if repeated is not None:
+                LOGGER.warning("batch %s holds messages more than once; each lands once", batch_id)
+                # Written down before the files that it was found in are replaced.
+                path = f"{self.output}/repeats/{commit_key}"
+                repeated.write.mode("overwrite").parquet(path)
+                once = self._once(rows, batch.sparkSession.read.schema(repeated.schema).parquet(path))
+                messages, late = write(once, heads, commit_key, keep_late)
+                ranges = self._checked_ranges(messages, heads, kept)
             if late is not None:
-                line = F.col("value") if "value" in late.columns else F.lit(None).cast("string")
-                rejects = late.select(*KEYS, "offset", line.alias("line"), F.lit(BEHIND_POSITION).alias("reject_reason"))
-                mapped = mapped.unionByName(rejects, allowMissingColumns=True)
-            write_messages(mapped, self.output, commit_key, self.mapper.buckets, rebalance=self.rebalance)
-            if ranges is None:
-                written = read_commit(batch.sparkSession, self.output, commit_key, self.mapper.buckets)
-                is_behind = F.coalesce(F.col("reject_reason") == BEHIND_POSITION, F.lit(False))
-                ranges = self._checked_ranges(written.where(~is_behind) if self.mapper.total else fresh, ledger, kept)
-                if late is not None:
-                    ranges = self._with_late(ranges, written.where(is_behind), ledger)
+                ranges = self._with_late(ranges, late, ledger, kept)
             if commit and ranges is not None:
-                ledger.append(self._ranges(ranges, batch_id, commit_key))
+                ledger.append(self._ranges(ranges, batch_id, commit_key, opened_ms, self.clock()))
                 LOGGER.info("batch %s is committed", batch_id)
         finally:
             for frame in kept:
                 frame.unpersist()
 
-    def _with_late(self, ranges: DataFrame | None, late: DataFrame, ledger: OffsetLedger) -> DataFrame | None:
+    def _write_total(
+        self, rows: DataFrame, heads: DataFrame, commit_key: str, keep_late: bool
+    ) -> tuple[DataFrame, DataFrame | None]:
+        """Write by a mapper with one row a message; (messages, late ones or None) read back."""
+        mapped = self.mapper(rows, **self._mapper_arguments())
+        is_behind = F.coalesce(F.col("reject_reason") == BEHIND_POSITION, F.lit(False))
+        if keep_late:
+            if "reject_reason" not in mapped.columns:
+                mapped = mapped.withColumn("reject_reason", F.lit(None).cast("string"))
+            reason = F.when(F.col("offset") < F.col("saved_offset"), BEHIND_POSITION).otherwise(F.col("reject_reason"))
+            mapped = mapped.join(heads, KEYS, "left").withColumn("reject_reason", reason).drop("saved_offset")
+        write_messages(mapped, self.output, commit_key, self.mapper.buckets, rebalance=self.rebalance)
+        written = read_commit(rows.sparkSession, self.output, commit_key, self.mapper.buckets)
+        # Rejects have a folder of their own, so this look at their reasons opens no other file.
+        if not keep_late or written.where((F.col("outcome") == REJECTED) & is_behind).isEmpty():
+            return written, None
+        return written.where(~is_behind), written.where((F.col("outcome") == REJECTED) & is_behind)
+
+    def _write_other(
+        self, rows: DataFrame, heads: DataFrame, commit_key: str, keep_late: bool
+    ) -> tuple[DataFrame, DataFrame | None]:
+        """Write by a mapper that may drop or multiply messages; (messages, late ones or None) of the persisted rows."""
+        fresh, late = rows, None
+        if keep_late:
+            placed = rows.join(heads, KEYS, "left")
+            is_late = F.coalesce(F.col("offset") < F.col("saved_offset"), F.lit(False))
+            late, fresh = placed.where(is_late).drop("saved_offset"), placed.where(~is_late).drop("saved_offset")
+            late = None if late.isEmpty() else late
+        mapped = self.mapper(fresh, **self._mapper_arguments())
+        if late is not None:
+            reason = F.lit(BEHIND_POSITION).alias("reject_reason")
+            rejects = late.select(*KEYS, "offset", F.col("value").alias("line"), reason)
+            mapped = mapped.unionByName(rejects, allowMissingColumns=True)
+        write_messages(mapped, self.output, commit_key, self.mapper.buckets, rebalance=self.rebalance)
+        return fresh.withColumn("chars", utf16_length(F.col("value"))), late
+
+    def _once(self, rows: DataFrame, repeated: DataFrame) -> DataFrame:
+        """``rows`` with one of each repeated message; only those are shuffled."""
+        key = [*KEYS, "offset"]
+        repeated = small_side(repeated, self.max_broadcast_rows)
+        others = [c for c in rows.columns if c not in key]
+        one = rows.join(repeated, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*others)).alias("one"))
+        return rows.join(repeated, key, "left_anti").unionByName(one.select(*key, "one.*"))
+
+    def _with_late(
+        self, ranges: DataFrame | None, late: DataFrame, ledger: OffsetLedger, kept: list[DataFrame]
+    ) -> DataFrame | None:
         """Add an empty range at the saved position for partitions of which the batch has late rows only."""
-        columns = [*KEYS, "start_offset", "next_offset"]
+        columns = [*KEYS, "start_offset", "next_offset", "n_messages", "fetch_chars"]
         counts = late.groupBy(*KEYS).agg(F.count("*").alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-        if counts.isEmpty():
-            counts.unpersist()
-            return ranges
+        kept.append(counts)
         LOGGER.warning("messages behind the saved position are kept as rejects in %s", self.output)
         only = counts.join(ledger.heads(self.group), KEYS)
         if ranges is not None:
             only = only.join(ranges.select(*KEYS), KEYS, "left_anti")
-        empty = only.select(*KEYS, F.col("saved_offset").alias("start_offset"), F.col("saved_offset").alias("next_offset"))
+        at, nothing = F.col("saved_offset"), F.lit(0).cast("bigint")
+        empty = only.select(
+            *KEYS, at.alias("start_offset"), at.alias("next_offset"), nothing.alias("n_messages"), nothing.alias("fetch_chars")
+        )
         return empty if ranges is None else ranges.select(*columns).unionByName(empty)
 
     def _inputs(self, log: DataFrame) -> DataFrame:
-        return log.select(*KEYS, "offset", *self.mapper.inputs)
+        """What the mapper reads, and the message, whose size every commit records."""
+        return log.select(*KEYS, "offset", *dict.fromkeys((*self.mapper.inputs, "value")))
 
-    def _checked_ranges(self, rows: DataFrame, ledger: OffsetLedger, kept: list[DataFrame]) -> DataFrame | None:
-        """Offset range per topic-partition, None if there are no rows."""
+    def _checked_ranges(self, rows: DataFrame, heads: DataFrame, kept: list[DataFrame]) -> DataFrame | None:
+        """Offset range, messages and characters per topic-partition, None if there are no rows."""
         ranges = (
-            partition_bounds(rows)
-            .withColumnsRenamed({"earliest": "start_offset", "latest": "next_offset"})
-            .join(ledger.heads(self.group), KEYS, "left")
+            rows.groupBy(*KEYS)
+            .agg(
+                F.min("offset").alias("start_offset"),
+                next_offset(F.max("offset")).alias("next_offset"),
+                F.count("*").alias("n_messages"),
+                F.sum(F.coalesce(F.col("chars").cast("bigint"), F.lit(0))).alias("fetch_chars"),
+                F.bit_xor(F.xxhash64("offset")).alias("digest"),
+            )
+            .join(heads, KEYS, "left")
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         kept.append(ranges)
@@ -294,12 +353,16 @@ class LandingJob:
             raise OutOfOrderError(f"{totals['n_behind']} partitions hold messages behind their saved position")
         return ranges if totals["n"] else None
 
-    def _ranges(self, ranges: DataFrame, batch_id: int, commit_key: str = "") -> DataFrame:
+    def _ranges(
+        self, ranges: DataFrame, batch_id: int, commit_key: str = "", opened_ms: int | None = None, committed_ms: int | None = None
+    ) -> DataFrame:
         return ranges.withColumns(
             {
                 "grp": F.lit(self.group),
                 "batch_id": F.lit(batch_id).cast("bigint"),
                 "commit_key": F.lit(commit_key),
+                "opened_ms": F.lit(opened_ms).cast("bigint"),
+                "committed_ms": F.lit(committed_ms).cast("bigint"),
             }
         )
 
@@ -324,20 +387,32 @@ class LandingJob:
 
     def committed_rejects(self, spark: SparkSession) -> DataFrame:
         """Rejected rows of committed batches with their reasons."""
-        return self._committed(spark, read_rejected)
+        # Late messages lie below the range of the commit that brought them, so its key alone admits them.
+        behind = F.col("reject_reason") == BEHIND_POSITION
+        keys = OffsetLedger(spark, self.output).commit_keys(self.group).where(F.col("topic") == self.topic)
+        late = read_rejected(spark, self.output, self.mapper.buckets).where(behind & (F.col("topic") == self.topic))
+        placed = self._committed(spark, read_rejected).where(~behind)
+        return placed.unionByName(committed_read(late, keys, self.max_broadcast_rows))
 
     def commit_metrics(self, spark: SparkSession) -> DataFrame:
-        """Characters, open routes and offset range of each committed batch and partition.
+        """Messages, characters, open routes, offset range and times of each committed batch and partition.
 
-        Read from the messages table, so landing itself pays nothing for it.
+        All but the routes are the ledger's, which are those of the input: dropped
+        and rejected messages count, a message that goes to two routes counts once,
+        and late ones, which are outside the range, do not. Routes are those of the
+        committed rows, without their text.
         """
-        rows = self._committed(spark, read_messages)
+        commits = OffsetLedger(spark, self.output).commits(self.group).where(F.col("topic") == self.topic)
+        rows = self._committed(spark, read_landed)
         if "route" not in rows.columns:
             rows = rows.withColumn("route", hour_route(F.col("event_day"), F.col("event_hour")))
-        return batch_commit_metrics(rows, "commit_key")
+        keys = [*KEYS, "commit_key"]
+        routes = rows.groupBy(*keys).agg(F.count_distinct("route").alias("n_routes"))
+        columns = ["batch_id", "n_messages", "fetch_chars", "start_offset", "next_offset", "opened_ms", "committed_ms"]
+        return commits.select(*keys, *columns).join(routes, keys, "left").na.fill({"n_routes": 0})
 
     def _committed(self, spark: SparkSession, read: Callable[..., DataFrame]) -> DataFrame:
         # The ledger is listed first: a batch committed meanwhile is then missing as a whole, not in part.
-        commits = OffsetLedger(spark, self.output).commit_keys(self.group).where(F.col("topic") == self.topic)
+        commits = OffsetLedger(spark, self.output).commits(self.group).where(F.col("topic") == self.topic)
         rows = read(spark, self.output, self.mapper.buckets).where(F.col("topic") == self.topic)
-        return committed_read(rows, commits, self.max_broadcast_rows)
+        return committed_read(rows, disjoint_ranges(commits), self.max_broadcast_rows)

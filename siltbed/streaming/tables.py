@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltbed.functions import utf16_length
 from siltbed.operators.offsets import ledger_heads
 from siltbed.schema import HOUR_BUCKETS, LEDGER_SCHEMA, messages_schema
 
@@ -60,6 +61,8 @@ def write_messages(
     log touches, so an hour or partition with most of the rows is still written
     by as many tasks as read it. ``rebalance`` shuffles by directory first for
     fewer files; adaptive execution then splits the directories that are large.
+    Each line's length is kept beside it, so that a batch's size can be read back
+    without its text.
     """
     directories = ["outcome", "topic", *buckets.fieldNames()]
     reason = F.col("reject_reason") if "reject_reason" in rows.columns else F.lit(None).cast("string")
@@ -68,6 +71,7 @@ def write_messages(
         "offset",
         "line",
         reason.alias("reject_reason"),
+        utf16_length(F.col("line")).cast("int").alias("chars"),
         F.when(reason.isNull(), LANDED).otherwise(REJECTED).alias("outcome"),
         *directories[1:],
     )
@@ -98,13 +102,13 @@ def read_messages(spark: SparkSession, root: str, buckets: T.StructType = HOUR_B
 def read_landed(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every landed row on disk, committed or not. See ``committed_read``."""
     rows = read_messages(spark, root, buckets)
-    return rows.where(F.col("outcome") == LANDED).drop("outcome", "reject_reason")
+    return rows.where(F.col("outcome") == LANDED).drop("outcome", "reject_reason", "chars")
 
 
 def read_rejected(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every rejected row on disk with the reason, committed or not."""
     rows = read_messages(spark, root, buckets)
-    return rows.where(F.col("outcome") == REJECTED).drop("outcome", *buckets.fieldNames())
+    return rows.where(F.col("outcome") == REJECTED).drop("outcome", "chars", *buckets.fieldNames())
 
 
 class OffsetLedger:
@@ -123,6 +127,10 @@ class OffsetLedger:
     def heads(self, group: str) -> DataFrame:
         return ledger_heads(self.read(), group)
 
+    def commits(self, group: str) -> DataFrame:
+        """Ranges of the group's batches, without those that only record a start position."""
+        return self.read().where((F.col("grp") == group) & (F.col("commit_key") != ""))
+
     def commit_keys(self, group: str) -> DataFrame:
         """One row per topic and commit of the group."""
         return self.read().where(F.col("grp") == group).select("topic", "commit_key").distinct()
@@ -132,7 +140,9 @@ class OffsetLedger:
 
     def append(self, ranges: DataFrame) -> None:
         """Add ranges in one file, so that a commit is visible whole or not at all."""
-        ranges.select(*LEDGER_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(self.path)
+        unset = {f.name: F.lit(None).cast(f.dataType) for f in LEDGER_SCHEMA.fields if f.name not in ranges.columns}
+        entry = ranges.withColumns(unset).select(*LEDGER_SCHEMA.fieldNames())
+        entry.coalesce(1).write.mode("append").parquet(self.path)
 
     def commit(self, ranges: DataFrame) -> None:
         """Append ranges, refusing any that starts below its partition's saved position."""

@@ -4,17 +4,26 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from siltbed.operators import RolloverPolicy, batch_commit_metrics, csv_hour_mapper, rollover_reason
+from siltbed.operators import (
+    RolloverPolicy,
+    batch_commit_metrics,
+    csv_hour_mapper,
+    disjoint_ranges,
+    repeated_messages,
+    rollover_reason,
+)
 from siltbed.sources import FileLog, FrameLog, KafkaLog
 from siltbed.streaming import (
     LandingJob,
     OffsetLedger,
     OutOfOrderError,
     append_log_files,
+    export_named_text,
     export_text,
     producer_options,
     producer_payload,
     read_landed,
+    read_named_text,
     read_text,
 )
 from siltbed.streaming import landing as landing_module
@@ -193,21 +202,119 @@ def test_custom_mapper_by_name_with_parameters(spark, log_of, tmp_path):
     ]
 
 
-def test_one_write_is_one_scan_without_shuffle(spark, log_of, tmp_path, log_path, monkeypatch):
+@pytest.mark.parametrize("keep_late", [True, False])
+def test_one_write_is_one_scan_without_shuffle(spark, log_of, tmp_path, log_path, monkeypatch, keep_late):
     append_log_files(log_of([(0, o, message(o)) for o in range(5)]), log_path)
     job = job_for(tmp_path, FileLog(log_path))
     job.run_batch(spark)  # so that the ledger is not empty
-    plans = []
-    monkeypatch.setattr(
-        landing_module,
-        "write_messages",
-        lambda rows, *args, **settings: plans.append(rows._jdf.queryExecution().executedPlan().toString()),
-    )
+    plans, real = [], landing_module.write_messages
+
+    def noted(rows, *args, **settings):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        real(rows, *args, **settings)
+
+    monkeypatch.setattr(landing_module, "write_messages", noted)
     append_log_files(log_of([(0, 5, message(5))]), log_path)
-    job.land_batch(spark.read.parquet(log_path), 1, commit=False)
+    job.land_batch(spark.read.parquet(log_path), 1, keep_late=keep_late, commit=False)
+    assert len(plans) == 1 and plans[0].count(f"[file:{log_path}]") == 1
     big_side = plans[0].split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in big_side and "Exchange hashpartitioning" not in big_side
-    assert big_side.count("FileScan") == 1 and "key:string" not in big_side
+    assert "key:string" not in big_side
+
+
+@pytest.mark.parametrize("mapper", ["csv_hour", "alerts"])
+def test_a_streamed_batch_reads_its_source_once(spark, log_of, tmp_path, log_path, mapper):
+    """Rows are counted where they are read; late and repeated messages are what a second pass would be for."""
+    import siltbed.plans.sample_mappers  # noqa: F401
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        read.add(1)
+        return value
+
+    job = job_for(tmp_path, FileLog(log_path), mapper=mapper)
+    job.land_batch(log_of([(0, o, message(o)) for o in range(10, 20)]), 0)
+    batch = log_of([(0, o, message(o)) for o in [3, 4, *range(20, 40)]]).withColumn("value", counted.asNondeterministic()("value"))
+    job.land_batch(batch, 1, spark.range(0).selectExpr("'t' topic", "0 partition", "0L saved_offset"), keep_late=True)
+    assert read.value == 22
+    assert offsets_of(job.committed_rejects(spark)) == [(0, 3), (0, 4)]
+    assert set(offsets_of(job.committed(spark))) == {(0, o) for o in range(10, 40)}
+
+
+@pytest.mark.parametrize("mapper", ["csv_hour", "alerts"])
+def test_repeats_within_a_batch_land_once(spark, log_of, tmp_path, log_path, mapper):
+    import siltbed.plans.sample_mappers  # noqa: F401
+
+    rows = [(0, o, message(o)) for o in range(5)]
+    append_log_files(log_of(rows + rows + [(1, 7, message(1)), (1, 9, message(1))]), log_path)
+    job = job_for(tmp_path, FileLog(log_path), mapper=mapper)
+    job.run(spark)
+    assert offsets_of(job.committed(spark)) == [(0, o) for o in range(5)] + [(1, 7), (1, 9)]
+    metrics = job.commit_metrics(spark).orderBy("partition").collect()
+    assert [(r.n_messages, r.fetch_chars, r.start_offset, r.next_offset) for r in metrics] == [
+        (5, sum(len(v) for _, _, v in rows), 0, 5),
+        (2, 2 * len(message(1)), 7, 10),
+    ]
+
+
+def test_a_gap_that_hides_a_repeat_is_seen(spark, log_of):
+    """Four messages in a range of four offsets, one of them twice."""
+    log = log_of([(0, o, "x") for o in (0, 1, 1, 3)] + [(1, o, "x") for o in range(200_000)])
+    ranges = log.groupBy("topic", "partition").agg(
+        F.min("offset").alias("start_offset"), (F.max("offset") + 1).alias("next_offset"),
+        F.count("*").alias("n_messages"), F.bit_xor(F.xxhash64("offset")).alias("digest"),
+    )
+    assert offsets_of(repeated_messages(log, ranges)) == [(0, 1)]
+    assert repeated_messages(log, ranges.where("partition = 1")) is None
+
+
+def test_metrics_are_those_of_the_input(spark, log_of, tmp_path):
+    import siltbed.plans.sample_mappers  # noqa: F401
+
+    job = job_for(tmp_path, FrameLog(log_of([])), mapper="alerts")
+    nothing = spark.range(0).selectExpr("'t' topic", "0 partition", "0L saved_offset")
+    job.land_batch(log_of([(0, 10, "1,2,error"), (0, 11, "1,2,view"), (0, 12, None)]), 0, nothing, commit_key="a")
+    job.land_batch(log_of([(0, 3, "1,2,late"), (0, 13, "1,2,buy")]), 1, nothing, commit_key="b", keep_late=True)
+    rows = job.commit_metrics(spark).orderBy("commit_key").collect()
+    assert [(r.n_messages, r.fetch_chars, r.n_routes, r.start_offset, r.next_offset) for r in rows] == [
+        (3, 17, 2, 10, 13),
+        (1, 7, 1, 13, 14),
+    ]
+
+
+def test_batches_grow_with_the_measured_rate(spark, log_of, tmp_path, log_path):
+    times = iter(range(0, 10_000, 10))
+    policy = RolloverPolicy(max_chars=100, max_age_ms=1_000)
+    job = job_for(tmp_path, FileLog(log_path), rollover=policy, n_partitions=2, clock=lambda: next(times))
+    bound = lambda: int(job._bounded(job.source, spark).options["maxBytesPerTrigger"])
+    assert bound() == 200
+    line = message(1, "x" * 30)
+    append_log_files(log_of([(0, o, line) for o in range(50)]).coalesce(1), log_path)
+    job.run(spark)
+    # The commit took 10 ms by the clock, so a batch of 1,000 ms may have a hundred times as much.
+    assert bound() == 100 * 50 * len(line)
+    wide = LandingJob(**{**job.__dict__, "n_partitions": None, "output": str(tmp_path / "new")})
+    assert int(wide._bounded(wide.source, spark).options["maxBytesPerTrigger"]) == 100 * spark.sparkContext.defaultParallelism
+
+
+def test_overlapping_commits_show_each_message_once(spark, log_of, tmp_path):
+    """Two writers that did not know of each other: the first commit of an offset has it."""
+    job = job_for(tmp_path, FrameLog(log_of([])))
+    nothing = spark.range(0).selectExpr("'t' topic", "0 partition", "0L saved_offset")
+    ledger, log = OffsetLedger(spark, job.output), log_of([(p, o, message(o)) for p in (0, 1) for o in range(30)])
+    commits = (("a", 0, 10), ("b", 5, 20), ("c", 8, 12), ("d", 20, 30), ("e", 0, 30))
+    for key, low, high in commits:
+        job.land_batch(log.where(F.col("offset").between(low, high - 1)), 0, nothing, commit_key=key, commit=False)
+    for key, low, high in commits:
+        entry = log.groupBy("topic", "partition").agg(F.lit(low).alias("start_offset"), F.lit(high).alias("next_offset"))
+        ledger.append(job._ranges(entry, 0, key, 0, ord(key)))
+    for settings in ({}, {"max_broadcast_rows": 0}):
+        view = LandingJob(**{**job.__dict__, **settings}).committed(spark)
+        assert offsets_of(view) == sorted((p, o) for p in (0, 1) for o in range(30))
+        owners = {r.offset: r.commit_key for r in view.where("partition = 1").collect()}
+        assert [owners[o] for o in (0, 9, 10, 19, 20, 29)] == ["a", "a", "b", "b", "d", "d"]
 
 
 @pytest.mark.parametrize("total", [True, False])
@@ -240,6 +347,50 @@ def test_text_keeps_offset_order_and_codec(spark, log_of, tmp_path):
         export_text(rows, path, compression="lzo")
 
 
+def test_named_text_files(spark, log_of, tmp_path):
+    """One file a route, partition and start; long ranges in slices; the same export again replaces its files."""
+    rows = csv_hour_mapper(log_of([(p, o, message(5, f"{p}-{o}")) for o in range(30) for p in (1, 0)]))
+    path = str(tmp_path / "text")
+    for _ in range(2):
+        export_named_text(rows, path, slice_offsets=20)
+    names = sorted(n.removeprefix(path + "/") for n in glob.glob(f"{path}/**/*.*", recursive=True) if "_temporary" not in n)
+    assert names == [f"t/1970-1-1/13-{p}.{start}.gz" for p in (0, 1) for start in (0, 20)]
+    with gzip.open(f"{path}/t/1970-1-1/13-1.20.gz", "rt") as file:
+        assert file.read().splitlines() == [message(5, f"1-{o}") for o in range(20, 30)]
+    export_named_text(csv_hour_mapper(log_of([(0, 99, message(5, "late"))])), path)
+    found = read_named_text(spark, path)
+    assert found.count() == 61 and found.where("file_name = 't/1970-1-1/13-0.99.gz'").first().line == message(5, "late")
+    with pytest.raises(ValueError):
+        export_named_text(rows, path, compression="lzo")
+
+
+def test_a_failed_export_leaves_no_file(spark, log_of, tmp_path):
+    rows = csv_hour_mapper(log_of([(0, o, message(o)) for o in range(9)]))
+    bad = F.udf(lambda line: line if "1970" in line else 1 // 0)
+    with pytest.raises(Exception, match="ZeroDivision"):
+        export_named_text(rows.withColumn("line", bad("line")), str(tmp_path / "text"))
+    assert not [n for n in glob.glob(f"{tmp_path}/text/**/*", recursive=True) if n.endswith(".gz")]
+
+
+def test_disjoint_ranges_of_many_commits(spark):
+    """Against a loop over offsets."""
+    import random
+
+    rng = random.Random(2)
+    commits = [("t", p, f"k{i}", a, a + rng.randint(0, 15), i, i // 2) for p in (0, 1) for i in range(25) for a in [rng.randint(0, 200)]]
+    frame = spark.createDataFrame(commits, "topic string, partition int, commit_key string, start_offset long, next_offset long, batch_id long, committed_ms long")
+    owner = {}
+    for _, p, key, a, b, batch, at in commits:
+        for o in range(a, b):
+            owner[p, o] = min(owner.get((p, o), (at, batch, key)), (at, batch, key))
+    got = {}
+    for r in disjoint_ranges(frame).collect():
+        for o in range(r.start_offset, r.next_offset):
+            assert (r.partition, o) not in got
+            got[r.partition, o] = r.commit_key
+    assert got == {at: turn[2] for at, turn in owner.items()}
+
+
 def test_metrics_and_rollover(spark, log_of):
     rows = [(0, 5, message(1)), (0, 6, message(1)), (0, 8, message(2)), (0, 9, "é😀"), (0, 10, None)]
     metrics = batch_commit_metrics(csv_hour_mapper(log_of(rows)))
