@@ -13,15 +13,22 @@ Jaccard similarity (Ertl, "BagMinHash", 2018, describes the scheme).
 Links. Equal multisets are one node. A bucket holds the nodes that share a band.
 Its leader is the one with the most rows in all its buckets together, so the
 buckets of one group of copies mostly have the same leader, and every node is
-compared with the best of its leaders first. A bucket whose nodes are then of
-one class has no link left that could change the classes. In the others every
-node is compared with the leader; nodes which no leader of the bucket resembles
-elect more leaders among themselves (eight times as many in each round), compared
-with the whole bucket, until every node is a leader or resembles one, or the
-bucket is of one class. Hot buckets therefore cost rows times leaders, not rows
-squared. Similarities are exact, from the multisets themselves. At the end, pairs
-of classes of one bucket that a link of two non-leaders could still join (distance
-obeys the triangle inequality) are compared in the zone where it could lie.
+compared with the best of its leaders. A bucket whose nodes are then of one class
+has no link left that could change the classes. In the others pairs of different
+classes are left, and they are met in two steps. First signatures alone are laid
+side by side, within tasks: a pair is wanted if enough of its components agree and
+no earlier band already holds it, and only the nodes that have a wanted pair go on.
+Then their texts are, and one list from shingles to nodes gives a node's exact
+similarity with all others of its bucket at once. Classes that a link joins are one
+from then on, so a bucket gives fewer links than it has classes.
+
+A bucket's largest class, its major one, is not compared with itself. It is cut into
+blocks, as the rest is, and a cell takes two blocks: rest with rest, or rest with
+major. So a bucket that a third of all rows share is many tasks of bounded size, and
+costs rows times the rows outside its major class.
+
+A pair at 0.8 shares a band with a chance of 1 - 3e-6, and agrees in enough
+components with one of 1 - 1e-5.
 
 Classes are the connected components of the links.
 
@@ -32,6 +39,7 @@ id comes after all others; repeated rows are copies.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,13 +61,17 @@ from siltbed.llm.common import (
     tokens,
     uniform,
     utf8_buffer,
+    word_hashes,
 )
 from siltbed.llm.components import components
 from siltbed.operators.small_side import small_side
 
 
-#: Members of one leader that are compared with one copy of its text.
-MEMBERS_A_SHARE = 500
+#: Members of one leader that are compared with one copy of its text, and nodes of a block.
+MEMBERS_A_SHARE, BLOCK = 500, 1024
+
+#: Standard deviations by which the agreement of signatures may fall short of the similarity sought.
+SHORTFALL = 4.3
 
 
 @dataclass(frozen=True)
@@ -72,6 +84,12 @@ class NearDuplicateParameters:
     def components(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def agreement(self) -> int:
+        """Components in which a pair has to agree."""
+        m, sim = self.components, self.similarity
+        return max(1, math.floor(m * sim - SHORTFALL * math.sqrt(m * sim * (1 - sim))))
+
 
 def bags(row: np.ndarray, shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, shingle and count of every distinct shingle of a row, in that order."""
@@ -136,8 +154,9 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, count: np.ndarray, n: int,
 def _bags_of(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Sorted shingles and counts of every text."""
     offs = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-    _, _, row, h = tokens(np.frombuffer(b"".join(texts), dtype=np.uint8), offs)
-    doc, shingle, count = bags(*shingles(row, h, len(texts)))
+    buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    first, end, row, _ = tokens(buf, offs)
+    doc, shingle, count = bags(*shingles(row, word_hashes(buf, first, end), len(texts)))
     edges = row_bounds(doc, len(texts))
     return [(shingle[a:b], count[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
@@ -155,20 +174,20 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sketch(documents: DataFrame, p: NearDuplicateParameters) -> DataFrame:
-    """id, th, bag, bands and packed text of every row.
+    """id, th, bag, signature and bands of every row.
 
     ``th`` tells rows of one id apart; ``bag`` is a 128-bit digest of the multiset.
+    The signature has a byte of each component.
     """
     m, rows = p.components, p.rows
     frame = documents.select(id_order().alias("id"), F.xxhash64("text").alias("th"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd", compression_level=1)
         for batch in pieces(batches, "text"):
             n = batch.num_rows
             buf, offs = utf8_buffer(batch.column("text"))
-            _, _, row, h = tokens(buf, offs)
-            doc, shingle, count = bags(*shingles(row, h, n))
+            first, end, row, _ = tokens(buf, offs)
+            doc, shingle, count = bags(*shingles(row, word_hashes(buf, first, end), n))
             digest = np.zeros((n, 2), dtype=np.uint64)
             bounds = row_bounds(doc, n)
             for k in (0, 1):
@@ -182,23 +201,35 @@ def sketch(documents: DataFrame, p: NearDuplicateParameters) -> DataFrame:
                 key = combine(key, sign[:, k::rows])
             keys = key.astype(np.int64)
             some = bounds[1:] > bounds[:-1]
-            data = buf.tobytes()
-            packed = [
-                int(b - a).to_bytes(8, "little") + codec.compress(data[a:b], asbytes=True)
-                for a, b in zip(offs[:-1], offs[1:], strict=True)
-            ]
+            small = (sign >> np.uint64(56)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     batch.column("th"),
                     pa.array([x.tobytes() for x in digest], pa.binary()),
+                    pa.array([x.tobytes() for x in small], pa.binary()),
                     pa.array([k if s else k[:0] for k, s in zip(keys, some, strict=True)], pa.list_(pa.int64())),
-                    pa.array(packed, pa.binary()),
                 ],
-                ["id", "th", "bag", "bands", "packed"],
+                ["id", "th", "bag", "sign", "bands"],
             )
 
-    return frame.transform(mapped, run, "id bigint, th bigint, bag binary, bands array<bigint>, packed binary")
+    return frame.transform(mapped, run, "id bigint, th bigint, bag binary, sign binary, bands array<bigint>")
+
+
+def packed_texts(documents: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(bag, packed), the compressed text of one row of every node (bag, id, th)."""
+    rows = documents.select(id_order().alias("id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    wanted = rows.join(small_side(nodes.select("bag", "id", "th")), ["id", "th"]).select("bag", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=1)
+        for batch in pieces(batches, "text"):
+            texts = [t.encode() for t in batch.column("text").to_pylist()]
+            packed = [len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("bag"), pa.array(packed, pa.binary())], ["bag", "packed"])
+
+    # Rows of one id and text are repeats.
+    return wanted.transform(mapped, run, "bag binary, packed binary").dropDuplicates(["bag"])
 
 
 def _unpack(packed: bytes) -> bytes:
@@ -246,140 +277,187 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return of_member.join(of_leader, ["leader", "share"]).drop("share").transform(mapped, run, "leader binary, member binary, sim double")
 
 
-def compared_nodes(sketches: DataFrame, p: NearDuplicateParameters) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes (bag, id, th of their first row), their texts, and the compared pairs (leader, member, sim), both ways."""
-    nodes = stored(
-        sketches.groupBy("bag").agg(F.min(F.struct("id", "th")).alias("f"), F.any_value("bands").alias("bands")).select(
-            "bag", F.col("f.id").alias("id"), F.col("f.th").alias("th"), "bands"
-        ),
-        "nodes",
+def _cells(frame: DataFrame, columns: str, run) -> DataFrame:
+    """Run ``run`` on every cell's rows (``cell``, ``side`` and others), a cell at a time, as one table of Arrow."""
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, cell = [], None
+        for batch in batches:
+            at = batch.column("cell").to_numpy()
+            cuts = np.flatnonzero(at[1:] != at[:-1]) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(at)], strict=True):
+                if b > a and at[a] != cell:
+                    if held:
+                        yield from run(pa.Table.from_batches(held))
+                    held, cell = [], at[a]
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from run(pa.Table.from_batches(held))
+
+    return frame.repartition("cell").sortWithinPartitions("cell").transform(mapped, grouped, columns)
+
+
+def _dealt(mixed: DataFrame) -> DataFrame:
+    """(cell, side, bucket, bag, class) of (bucket, bag, class) rows: each pair of blocks of a bucket that may hold links.
+
+    Blocks come from a count of the bucket's rows, so a cell has about two blocks of rows at most.
+    """
+    sizes = mixed.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+    of_bucket = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "class")).alias("major"), F.sum("n").alias("all")
+    ).select(
+        "bucket",
+        F.col("major.class").alias("major"),
+        F.ceil((F.col("all") - F.col("major.n")) / BLOCK).cast("int").alias("minors"),
+        F.ceil(F.col("major.n") / BLOCK).cast("int").alias("majors"),
     )
-    rows = nodes.select("bag", F.explode("bands").alias("bucket"))
+    placed = mixed.join(of_bucket, "bucket")
+    hashed = F.xxhash64("bag", "bucket")
+    is_major = F.col("class") == F.col("major")
+    block = F.when(is_major, F.col("minors") + F.pmod(hashed, F.col("majors"))).otherwise(F.pmod(hashed, F.greatest("minors", F.lit(1))))
+    # A cell is a pair of blocks of which the first is not of the major class.
+    last = F.col("minors") + F.col("majors") - 1
+    first = F.when(is_major, F.sequence(F.lit(0), F.col("minors") - 1)).otherwise(F.sequence(F.lit(0), F.col("block").cast("int")))
+    as_second = F.transform(first, lambda i: F.struct(i.alias("x"), F.col("block").cast("int").alias("y")))
+    as_first = F.when(is_major, F.array().cast("array<struct<x:int,y:int>>")).otherwise(
+        F.transform(F.sequence(F.col("block").cast("int"), last), lambda y: F.struct(F.col("block").cast("int").alias("x"), y.alias("y")))
+    )
+    cells = placed.withColumn("block", block).select(
+        "bucket", "bag", "class", F.explode(F.array_distinct(F.concat(as_first, as_second))).alias("xy"), "block"
+    )
+    return cells.select(
+        F.xxhash64("bucket", "xy.x", "xy.y").alias("cell"), F.col("xy.x").alias("x"), F.col("xy.y").alias("y"), "block", "bag", "class", "bucket"
+    )
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether a row of a cell is of its first block, of its second, and the code of its class."""
+    block, x, y = (table.column(c).to_numpy() for c in ("block", "x", "y"))
+    return block == x, block == y, table.column("class").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
+
+def _wanted(dealt: DataFrame, p: NearDuplicateParameters) -> DataFrame:
+    """Rows of the cells that have a pair to compare, by their signatures; ``dealt`` has sign, bands and band as well."""
+    least = p.agreement
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        one, two, kind = _sides(table)
+        n = len(kind)
+        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(n, -1)
+        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64).reshape(n, -1)
+        band = table.column("band").to_numpy()
+        wanted = np.zeros(n, dtype=bool)
+        second = np.flatnonzero(two)
+        for i in np.flatnonzero(one):
+            others = second[kind[second] != kind[i]]
+            agree = (sign[others] == sign[i]).sum(axis=1) >= least
+            others = others[agree]
+            # The first band that a pair shares has it.
+            others = others[~(bands[others, : band[i]] == bands[i, : band[i]]).any(axis=1)]
+            wanted[others] = True
+            wanted[i] |= len(others) > 0
+        if wanted.any():
+            kept = table.select(["cell", "x", "y", "block", "bag", "class"]).filter(pa.array(wanted))
+            yield from kept.combine_chunks().to_batches()
+
+    columns = "cell bigint, x int, y int, block bigint, bag binary, class binary"
+    return _cells(dealt, columns, run)
+
+
+def _links(wanted: DataFrame, texts: DataFrame, p: NearDuplicateParameters) -> DataFrame:
+    """(u, v) links between classes from exact similarities, so many that they join what is similar in a cell."""
+    least = p.similarity
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        one, two, kind = _sides(table)
+        n = len(kind)
+        root = np.arange(n if n else 0)
+        classes = kind.astype(np.int64).copy()
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        packed = table.column("packed")
+        at = 0
+        while at < n:
+            end, total = at, 0
+            while end < n and (end == at or total < 1 << 20):
+                total += int.from_bytes(packed[end].as_py()[:8], "little")
+                end += 1
+            found += _bags_of([_unpack(packed[k].as_py()) for k in range(at, end)])
+            at = end
+        weight = np.array([int(c.sum()) for _, c in found])
+        owner = np.repeat(root, [len(s) for s, _ in found])
+        shingle, count = np.concatenate([s for s, _ in found]), np.concatenate([c for _, c in found])
+        order = np.argsort(shingle, kind="stable")
+        owner, shingle, count = owner[order], shingle[order], count[order]
+        names = table.column("bag")
+        u, v = [], []
+        for i in np.flatnonzero(one):
+            mine, times = found[i]
+            low, high = np.searchsorted(shingle, mine, "left"), np.searchsorted(shingle, mine, "right")
+            sizes = high - low
+            entry = np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+            both = np.bincount(owner[entry], np.minimum(count[entry], np.repeat(times, sizes)), n).astype(np.int64)
+            either = weight + weight[i] - both
+            for j in np.flatnonzero(two & (both / np.maximum(either, 1) >= least) & (classes != classes[i])):
+                if classes[j] != classes[i]:
+                    classes[classes == classes[j]] = classes[i]
+                    u.append(names[i].as_py())
+                    v.append(names[j].as_py())
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
+
+    return _cells(wanted.join(texts, "bag"), "u binary, v binary", run)
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    return components(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
+
+
+def linked_nodes(documents: DataFrame, sketches: DataFrame, p: NearDuplicateParameters) -> tuple[DataFrame, DataFrame]:
+    """Nodes (bag, id, th of their first row), and (node, root) of those that resemble another."""
+    first = F.min(F.struct("id", "th", "sign", "bands")).alias("f")
+    nodes = stored(sketches.groupBy("bag").agg(first).select("bag", "f.*"), "nodes")
+    rows = nodes.select("bag", F.posexplode("bands").alias("band", "bucket"))
     many = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     whole = stored(rows.join(many, "bucket"), "buckets")
     # Nodes with the most rows in their buckets rank first.
     rank = whole.groupBy("bag").agg((-F.sum("n")).alias("rank"))
     shared = stored(rank.join(nodes.select("bag", "id", "th"), "bag"), "shared-nodes")
     # Only texts that share a bucket are compared; small sides are measured before they are broadcast.
-    texts = stored(
-        sketches.select("id", "th", "bag", "packed")
-        .join(small_side(shared), ["bag", "id", "th"], "left_semi")
-        .dropDuplicates(["bag"])
-        .select("bag", "packed"),
-        "texts",
-    )
+    texts = stored(packed_texts(documents, shared), "texts")
     ranked = whole.select("bucket", "bag").join(small_side(shared.select("bag", "rank")), "bag")
     low = ranked.groupBy("bucket").agg(F.min(F.struct("rank", F.col("bag").alias("leader"))).alias("first"))
-    members = stored(
-        whole.select("bucket", "bag").join(low, "bucket").where(F.col("bag") != F.col("first.leader")), "members"
-    )
-    best = members.groupBy(F.col("bag").alias("member")).agg(F.min("first").alias("first"))
-    known = stored(_both_ways(compare(best.select("first.leader", "member"), texts)), "similarities")
-    led = members.select("bucket", "bag", "first.leader").join(small_side(_mixed(whole, _roots(known, p))), "bucket", "left_semi")
-    known = _with_pairs(known, led.select("leader", F.col("bag").alias("member")), texts)
-    elected, settled = 1, None
-    while True:
-        seen = stored(led.join(known.withColumnRenamed("member", "bag"), ["leader", "bag"]), "led")
-        fits = seen.where(F.col("sim") >= p.similarity)
-        settled = fits if settled is None else settled.unionByName(fits)
-        # Rows of a bucket that none of this round's leaders resembles.
-        rest = stored(
-            seen.groupBy("bucket", "bag").agg(F.max("sim").alias("sim")).where(F.col("sim") < p.similarity).drop("sim"),
-            "rest",
-        )
-        if not rest.isEmpty():
-            at = whole.join(small_side(rest.select("bucket").distinct()), "bucket", "left_semi")
-            root = _roots(known, p)
-            rest = stored(rest.join(small_side(_mixed(at, root)), "bucket", "left_semi"), "rest")
-        if rest.isEmpty():
-            return nodes, texts, known
-        elected *= 8
-        leaders = stored(
-            rest.groupBy("bucket", F.expr(f"pmod(xxhash64(bag), {elected})").alias("part"))
-            .agg(F.min("bag").alias("leader"))
-            .select("bucket", "leader"),
-            "leaders",
-        )
-        led = rest.join(leaders, "bucket").where(F.col("bag") != F.col("leader"))
-        # What resembles a row of the new leader's is within twice the distance of that leader, and so about
-        # as near to the row's own leader (triangle inequality); `_across` needs those pairs as well.
-        old = (
-            _classed(settled.withColumnRenamed("sim", "to_row"), root, "bag", "class")
-            .join(_classed(leaders.withColumnRenamed("leader", "new"), root, "new", "new_class"), "bucket")
-            # Rows of the new leader's own class can add no link between classes.
-            .where(F.col("class") != F.col("new_class"))
-            .join(known.withColumnRenamed("member", "new"), ["leader", "new"])
-            .where(F.col("sim") >= F.col("to_row") - 2.0 * (1.0 - p.similarity) - 1e-9)
-        )
-        wanted = led.select("leader", F.col("bag").alias("member")).unionByName(
-            old.select(F.col("new").alias("leader"), F.col("bag").alias("member"))
-        )
-        known = _with_pairs(known, wanted.where(F.col("leader") != F.col("member")), texts)
-        led = led.join(leaders.select("bucket", F.col("leader").alias("bag")), ["bucket", "bag"], "left_anti")
-
-
-def _classed(rows: DataFrame, root: DataFrame, node: str, name: str) -> DataFrame:
-    """``rows`` with the class of the given node as a further column; a node without a link is its own."""
-    of = root.select(F.col("node").alias(node), F.col("root").alias(name))
-    return rows.join(of, node, "left").withColumn(name, F.coalesce(name, node))
-
-
-def _mixed(rows: DataFrame, root: DataFrame) -> DataFrame:
-    """Buckets of (bucket, bag) rows that are of more than one class."""
-    ends = _classed(rows.select("bucket", "bag"), root, "bag", "class").groupBy("bucket")
-    mixed = ends.agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    return stored(mixed.select("bucket"), "mixed")
-
-
-def _both_ways(compared: DataFrame) -> DataFrame:
-    return compared.unionByName(
-        compared.select(F.col("member").alias("leader"), F.col("leader").alias("member"), "sim")
+    best = (
+        whole.select("bucket", "bag")
+        .join(low, "bucket")
+        .where(F.col("bag") != F.col("first.leader"))
+        .groupBy(F.col("bag").alias("member"))
+        .agg(F.min("first").alias("first"))
     )
-
-
-def _with_pairs(known: DataFrame, wanted: DataFrame, texts: DataFrame) -> DataFrame:
-    """``known`` and the similarities of those wanted pairs that it lacks, each pair both ways round."""
-    once = wanted.select(F.least("leader", "member").alias("leader"), F.greatest("leader", "member").alias("member"))
-    fresh = once.distinct().join(known.select("leader", "member"), ["leader", "member"], "left_anti")
-    return stored(known.unionByName(_both_ways(compare(fresh, texts))), "similarities")
-
-
-def _across(known: DataFrame, root: DataFrame, p: NearDuplicateParameters) -> DataFrame:
-    """Pairs of nodes of different classes that may be similar though neither led a bucket.
-
-    If b resembles leader a, c resembles leader d, and b resembles c, then b is
-    within twice the distance of d, and c of a; leaders were compared with their whole buckets.
-    The bound has slack for rounding: 1 - 2 * (1 - 0.8) is above 0.6 in floating point.
-    """
-    close = 1.0 - 2.0 * (1.0 - p.similarity) - 1e-9
-    of = root.select(F.col("node").alias("member"), F.col("root").alias("class"))
-    linked = known.where(F.col("sim") >= p.similarity).select("member", F.col("leader").alias("own"))
-    border = (
-        known.where((F.col("sim") < p.similarity) & (F.col("sim") >= close))
-        .select("member", F.col("leader").alias("other"))
-        .join(of, "member")
-        .join(of.select(F.col("member").alias("other"), F.col("class").alias("other_class")), "other")
-        .where(F.col("class") != F.col("other_class"))
-        .join(linked, "member")
-        .select("member", "own", "other")
-    )
-    turned = border.select(F.col("member").alias("leader"), F.col("own").alias("other"), F.col("other").alias("own"))
-    return border.join(turned, ["own", "other"]).select("leader", "member").distinct()
-
-
-def _roots(known: DataFrame, p: NearDuplicateParameters) -> DataFrame:
-    linked = known.where((F.col("sim") >= p.similarity) & (F.col("leader") < F.col("member")))
-    return components(linked.select(F.col("leader").alias("u"), F.col("member").alias("v")))
+    alike = compare(best.select("first.leader", "member"), texts).where(F.col("sim") >= p.similarity)
+    links = stored(alike.select(F.col("leader").alias("u"), F.col("member").alias("v")), "links")
+    root = _roots(links)
+    classed = _classed(whole.select("bucket", "band", "bag"), root)
+    ends = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    mixed = stored(classed.join(ends.select("bucket"), "bucket", "left_semi"), "mixed")
+    if mixed.isEmpty():
+        return nodes, root
+    band = mixed.select("bucket", "band").distinct()
+    dealt = _dealt(mixed.select("bucket", "bag", "class")).join(small_side(band), "bucket").drop("bucket")
+    wanted = stored(_wanted(dealt.join(small_side(nodes.select("bag", "sign", "bands"), 100_000), "bag"), p), "wanted")
+    more = stored(_links(wanted, texts, p), "links")
+    return nodes, (root if more.isEmpty() else _roots(links.unionByName(more)))
+
+
+def _classed(rows: DataFrame, root: DataFrame) -> DataFrame:
+    """``rows`` with the class of their node; a node without a link is its own."""
+    of = root.select(F.col("node").alias("bag"), F.col("root").alias("class"))
+    return rows.join(small_side(of, 100_000), "bag", "left").withColumn("class", F.coalesce("class", "bag"))
 
 
 def near_duplicates(documents: DataFrame, p: NearDuplicateParameters = NearDuplicateParameters()) -> DataFrame:
     """id, th, class_id and winner (whether the row is its class's first) of every row."""
     sketches = stored(sketch(documents, p), "sketches")
-    nodes, texts, known = compared_nodes(sketches, p)
-    root = _roots(known, p)
-    across = stored(_across(known, root, p), "across")
-    if not across.isEmpty():
-        root = _roots(_with_pairs(known, across, texts), p)
+    nodes, root = linked_nodes(documents, sketches, p)
     placed = nodes.select("bag", "id", "th").join(root.withColumnRenamed("node", "bag"), "bag", "left")
     placed = placed.select("bag", "id", "th", F.coalesce("root", "bag").alias("root"))
     first = placed.groupBy("root").agg(F.min(F.struct("id", "th")).alias("first"))
@@ -404,10 +482,10 @@ def keep_one(documents: DataFrame, p: NearDuplicateParameters = NearDuplicatePar
     """One document of every class, with its columns: the smallest doc_id's."""
     names = documents.columns
     found = stored(near_duplicates(documents, p).where("winner").select("id", "th"), "winners")
-    winners = found.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.count("*").alias("_rows"))
-    kept = documents.withColumns({"_id": id_order(), "_th": F.xxhash64("text")}).join(
-        small_side(stored(winners, "winners")), ["_id", "_th"]
-    )
+    winners = found.groupBy("id", "th").agg(F.count("*").alias("n"))
+    # The row travels as one column, so that no column of it can clash with these.
+    rows = documents.select(F.struct(*names).alias("row"), id_order().alias("id"), F.xxhash64("text").alias("th"))
+    kept = rows.join(small_side(stored(winners, "winners")), ["id", "th"])
     # Repeated rows of a winner are one document.
-    once = kept.where("_rows = 1").unionByName(kept.where("_rows > 1").dropDuplicates(["_id", "_th"]))
-    return once.select(*names)
+    once = kept.where("n = 1").unionByName(kept.where("n > 1").dropDuplicates(["id", "th"]))
+    return once.select("row.*")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,6 +135,19 @@ def tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return s, e, np.searchsorted(offs, s, side="right") - 1, h
 
 
+def word_hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the words that ``tokens`` found, each made of its bytes as a whole.
+
+    Sums of powers, as in ``tokens``, are equal for some pairs of long words whatever the power; xxh3 is not such a sum.
+    """
+    data = buf[~_SPACE[buf]]
+    edges = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(s), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
+    distinct = words.dictionary.to_pylist()
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct), np.uint64, len(distinct))
+    return hashes[words.indices.to_numpy(zero_copy_only=False)]
+
+
 def row_bounds(row: np.ndarray, n: int) -> np.ndarray:
     """Offsets of each row's entries in an array that is sorted by row."""
     return np.searchsorted(row, np.arange(n + 1))

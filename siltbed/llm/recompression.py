@@ -218,7 +218,8 @@ def parsed(documents: DataFrame, p: RepeatParameters) -> DataFrame:
         for batch in pieces(batches, "text"):
             n = batch.num_rows
             buf, offs = utf8_buffer(batch.column("text"))
-            _, _, doc, h = tokens(buf, offs)
+            first, end, doc, _ = tokens(buf, offs)
+            h = word_hashes(buf, first, end)
             bounds = row_bounds(doc, n)
             name, lo, hi = picks(h, doc, n, p)
             span = WordHashes(h).of(lo, hi + p.window)
@@ -259,7 +260,8 @@ def _window_hashes(texts: DataFrame, p: RepeatParameters) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 text = np.frombuffer(_unpack(batch.column("packed")[i].as_py()), dtype=np.uint8)
-                hashes = WordHashes(tokens(text, np.array([0, len(text)]))[3])
+                first, end, _, _ = tokens(text, np.array([0, len(text)]))
+                hashes = WordHashes(word_hashes(text, first, end))
                 ranges = batch.column("ranges")[i].values
                 name, lo, hi = (ranges.field(k).to_numpy() for k in range(3))
                 count = hi - lo + 1

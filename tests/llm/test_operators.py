@@ -145,17 +145,40 @@ def test_a_family_of_near_copies_is_one_class(spark):
 
 
 def test_a_border_pair_at_the_bound_leads_to_its_link(spark):
-    w = [f"w{k}" for k in range(14)]
-    texts = {"a": [*w[2:], "x", "y"], "b": w[2:], "c": w, "d": w[:12]}
-    names = dict(zip(texts, bagminhash._bags_of([" ".join(t).encode() for t in texts.values()]), strict=True))
-    sims = {x + y: bagminhash.similarity(names[x], names[y]) for x in "abcd" for y in "abcd" if x != y}
-    assert [sims[k] for k in ("ab", "bc", "cd", "bd", "ad")] == [0.8, 0.8, 0.8, 0.6, 0.5]
-    # a and d led, so that the link of b and c was not compared.
-    rows = [(k[0].encode(), k[1].encode(), s) for k, s in sims.items() if k not in ("bc", "cb")]
-    known = spark.createDataFrame(rows, "leader binary, member binary, sim double")
-    root = spark.createDataFrame([(b"a", b"a"), (b"b", b"a"), (b"c", b"c"), (b"d", b"c")], "node binary, root binary")
-    found = bagminhash._across(known, root, bagminhash.NearDuplicateParameters()).collect()
-    assert {(bytes(r.leader), bytes(r.member)) for r in found} >= {(b"b", b"c")}
+    """Crops of a passage in a row, each 0.8 like the next and 0.6 or less like the others, are one class."""
+    rows = []
+    for k in range(30):
+        w = [f"w{k}x{i}" for i in range(16)]
+        rows += [(4 * k + i, " ".join(t)) for i, t in enumerate((w[2:14] + ["y", "z"], w[2:14], w[:14], w[:12]))]
+    got = sorted(((r.doc_id, r.class_id) for r in bagminhash.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=repr)
+    assert got == brute_classes(rows)
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_a_bucket_of_many_classes_loses_no_link(spark, monkeypatch, block):
+    """Near copies whose likeness is on both sides of the bound, in cells of few rows and in one."""
+    monkeypatch.setattr(bagminhash, "BLOCK", block)
+    rng, base = random.Random(9), prose(40, 120).split()
+    rows = []
+    for i in range(60):
+        text = list(base)
+        for at in rng.sample(range(len(text)), rng.randint(1, 9)):
+            text[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(text)))
+    got = sorted(((r.doc_id, r.class_id) for r in bagminhash.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=repr)
+    assert got == brute_classes(rows) and len({c for _, c in got}) > 3
+
+
+def test_words_that_sums_of_powers_confuse_are_different(spark):
+    """Words of 1,024 characters by the Thue-Morse sequence and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ turn] for b in bits) for turn in (0, 1))
+    rows = [(1, " ".join([one] * 8)), (2, " ".join([two] * 8))]
+    got = {r.doc_id: r.class_id for r in bagminhash.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: 1, 2: 2}
+    rows = [(1, prose(1, 49) + " " + one), (2, prose(1, 49) + " " + two)]
+    found = recompression.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [r.n_removed for r in found] == [0, 0]
 
 
 def test_signatures_estimate_weighted_jaccard():
