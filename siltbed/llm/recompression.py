@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import combine, id_order, mapped, mix, pieces, row_bounds, stored, tokens, utf8_buffer
+from siltbed.llm.common import combine, id_order, mapped, mix, pieces, row_bounds, stored, tokens, utf8_buffer, word_hashes
 from siltbed.operators.small_side import small_side
 
 
