@@ -56,6 +56,14 @@ def id_order(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column), F.lit((1 << 63) - 1))
 
 
+def free_name(taken: list[str], wanted: str) -> str:
+    """``wanted``, with as many underscores after it as keep it apart from the names taken (case does not tell names apart)."""
+    used = {name.lower() for name in taken}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose output bits all depend on all input bits (splitmix64's finisher)."""
     x = x.astype(np.uint64, copy=True)

@@ -134,6 +134,7 @@ def contaminated(documents: DataFrame, items: DataFrame, p: ContainmentParameter
 def keep_clean(documents: DataFrame, items: DataFrame, p: ContainmentParameters = ContainmentParameters()) -> DataFrame:
     """The documents that contain no item, with their columns."""
     names = documents.columns
-    hit = stored(contained(documents, items, p).select(F.col("id").alias("_id"), F.col("th").alias("_th")).distinct(), "hit")
-    keyed = documents.withColumns({"_id": id_order(), "_th": F.xxhash64("text")})
-    return keyed.join(small_side(hit), ["_id", "_th"], "left_anti").select(*names)
+    hit = stored(contained(documents, items, p).select("id", "th").distinct(), "hit")
+    # The row travels as one column, so that no column of it can clash with these.
+    keyed = documents.select(F.struct(*names).alias("row"), id_order().alias("id"), F.xxhash64("text").alias("th"))
+    return keyed.join(small_side(hit), ["id", "th"], "left_anti").select("row.*")

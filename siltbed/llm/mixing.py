@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import WORD_PATTERN, stored
+from siltbed.llm.common import WORD_PATTERN, free_name, stored
 from siltbed.operators.small_side import small_side
 
 #: Fixed by the contract: weights of the sources in order, repeating.
@@ -123,12 +123,22 @@ def _same_row() -> Column:
 def mix_sources(documents: DataFrame, p: MixingParameters = MixingParameters()) -> DataFrame:
     """The documents that the mix takes words of, with their columns and size, source_size, target, taken.
 
-    Every row has its own mix, whatever ids repeat; of repeated rows as many are kept as the mix takes words of.
+    Of these four one that the documents have already gets underscores after its name. Every row has its own mix, whatever ids repeat; of repeated rows as many are kept as the mix takes words of.
     """
+    names = documents.columns
+    # The row travels as one column, so that no column of it can clash with the plan's.
+    documents = documents.select("doc_id", "text", "source", F.struct(*names).alias("row"))
+    return _mixed_rows(documents, p).select(
+        *(F.col("row").getField(name).alias(name) for name in names), *(F.col(c).alias(free_name(names, c)) for c in PLAN)
+    )
+
+
+def _mixed_rows(documents: DataFrame, p: MixingParameters) -> DataFrame:
+    """doc_id, text, source, row and the plan's columns of the documents taken."""
     plan = stored(planned(documents, p).where(F.col("taken") > 0), "taken").withColumnsRenamed(
         {"doc_id": "_id", "th": "_th", "source": "_source"}
     )
-    kept = documents.drop(*PLAN)
+    kept = documents
     once = kept.join(small_side(plan.where(~F.col("repeated"))), _same_row()).select(*kept.columns, *PLAN)
     plan = plan.where("repeated")
     if plan.isEmpty():

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import mapped
+from siltbed.llm.common import free_name, mapped
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -273,7 +273,7 @@ def masked(text: str) -> str:
 def mask(documents: DataFrame) -> DataFrame:
     """The documents with identifiers masked; ``n_chars`` is that of the new text. A null text stays null."""
     names = documents.columns
-    spare = "_masked"
+    spare = free_name(names, "masked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import mapped, mix, pieces, stored, utf8_buffer
+from siltbed.llm.common import free_name, mapped, mix, pieces, stored, utf8_buffer
 
 #: Fixed by the contract of the query: held-out remainder of crc32(doc_id as text) and the threshold.
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
@@ -181,15 +181,15 @@ def score_texts(texts: pa.Array, model: ToxicityModel | None) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def score(documents: DataFrame, model: ToxicityModel | None) -> DataFrame:
-    """All columns of ``documents`` and ``toxicity_score`` (a column of that name is replaced)."""
-    frame = documents.drop("toxicity_score")
-    schema = T.StructType([*frame.schema.fields, T.StructField("toxicity_score", T.DoubleType())])
+def score(documents: DataFrame, model: ToxicityModel | None, into: str = "toxicity_score") -> DataFrame:
+    """All columns of ``documents`` and the score (a column of that name is replaced)."""
+    frame = documents.drop(into)
+    schema = T.StructType([*frame.schema.fields, T.StructField(into, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             out = pa.array(score_texts(batch.column("text"), model), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, "toxicity_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, into])
 
     return frame.transform(mapped, run, schema)
 
@@ -209,4 +209,5 @@ def toxicity(documents: DataFrame, labels: DataFrame, p: ToxicityParameters = To
 def keep_non_toxic(documents: DataFrame, labels: DataFrame, p: ToxicityParameters = ToxicityParameters()) -> DataFrame:
     """The documents that score below the threshold, with their columns."""
     names = documents.columns
-    return score(documents, fit(documents, labels, p)).where(F.col("toxicity_score") < THRESHOLD).select(*names)
+    into = free_name(names, "toxicity_score")
+    return score(documents, fit(documents, labels, p), into).where(F.col(into) < THRESHOLD).select(*names)

@@ -360,6 +360,22 @@ def test_decontamination(spark, hard):
     assert kept.columns == hard.columns and kept.count() == hard.count() - 3
 
 
+def test_stages_leave_columns_of_any_name_alone(spark, hard, labels):
+    """Names that the operators use inside themselves, and the mix's own results."""
+    items = spark.createDataFrame([(1, prose(2, 60))], "item_id bigint, text string")
+    own = ("_id", "_th", "_row", "_source", "_masked", "masked", "toxicity_score", "row", "th", "SIZE", "taken", "n")
+    frame = hard.withColumns({name: F.concat(F.lit(name), F.coalesce("doc_id", F.lit(0))) for name in own})
+    done = [
+        toxicity.keep_non_toxic(frame, labels), bagminhash.keep_one(frame), decontaminate.keep_clean(frame, items),
+        pii.mask(frame), mixing.mix_sources(frame),
+    ]
+    for out in done:
+        assert out.columns[: len(frame.columns)] == frame.columns
+        rows = out.collect()
+        assert rows and all(r[name] == f"{name}{r['doc_id'] or 0}" for r in rows for name in own)
+    assert done[-1].columns[len(frame.columns) :] == ["size_", "source_size", "target", "taken_"]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
@@ -380,7 +396,7 @@ def test_empty_tables(spark, empty):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         connection.execute(f"create view {table} as select * from '{DATA}/sf0.001/{table}.parquet'")
     frame = QUERIES[name](spark, f"{DATA}/sf0.001")
     result = connection.execute(ORACLES[name])
