@@ -46,7 +46,7 @@ STAGES = [
     ("mixing", mixing_stage),
 ]
 
-#: SQL cannot express the trained classifier and the signatures; tests compare with brute force.
+#: SQL cannot express the trained classifier and the signatures; tests hold the operators against brute force, and the run's columns and ids.
 ORACLE_SQL = None
 
 
