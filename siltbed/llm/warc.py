@@ -1,7 +1,7 @@
 """Deterministic sharded WARC archives.
 
-Records are sorted by id and dealt to shards, ranges of ids with about equal
-bytes. A task writes a shard's records, each a gzip member, and starts a new file
+Records are sorted by id and payload digest and dealt to shards, ranges of these with about
+equal bytes. A task writes a shard's records, each a gzip member, and starts a new file
 when the compressed size passes the limit. Headers and digests come from the
 record alone, so a shard has the same bytes in every run. A file is written under
 a temporary name and renamed when complete: a repeated or doubled task puts the
@@ -26,14 +26,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import id_order, mapped
+from siltbed.llm.common import id_order, mapped, stored
+from siltbed.operators import small_side
 from siltbed.scratch import scratch_dir
 
-#: Ids are counted in so many equal slices of their range, from which shards are put together.
-SLICES = 1 << 16
+#: So many shards at most; beyond, each is larger.
+MAX_SHARDS = 1 << 16
+#: Taken for the headers of a record.
+HEAD_BYTES = 500
 _NO_ID = (1 << 63) - 1
 
 
@@ -42,46 +45,82 @@ class WarcParameters:
     revisit_bytes: int = 100
     #: A file is closed when its compressed size has reached this.
     file_bytes: int = 8 << 20
-    #: Payload bytes of a shard.
+    #: Payload and header bytes of a shard.
     shard_bytes: int = 16 << 20
     level: int = 3
     date: str = "2000-01-01T00:00:00Z"
 
 
-def prepared(pages: DataFrame, p: WarcParameters) -> DataFrame:
-    """id, url, payload, payload_bytes, digest and first (id of the response that a revisit refers to, else null)."""
-    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    rows = pages.select(
-        id_order("page_id").alias("id"), "url", payload.alias("payload"), F.length(payload).cast("long").alias("payload_bytes")
-    ).withColumn("digest", F.sha2("payload", 256))
-    first = (
-        rows.where(F.col("payload_bytes") >= p.revisit_bytes)
-        .groupBy("digest")
-        .agg(F.min("id").alias("low"), F.max("id").alias("high"))
-        .where("low < high")
-        .select("digest", "low")
-    )
-    return rows.join(first, "digest", "left").select(
-        "id", "url", "payload", "payload_bytes", "digest", F.when(F.col("id") > F.col("low"), F.col("low")).alias("first")
+def _payload() -> Column:
+    return F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+
+
+def _digest(payload: Column) -> Column:
+    return F.unhex(F.sha2(payload, 256))
+
+
+def keys_of(pages: DataFrame) -> DataFrame:
+    """One row for each id and payload: id, digest, payload_bytes, weight (archive bytes before compression), area.
+
+    Areas are ranges of (id, digest), in order; they only spread the prefix sums.
+    """
+    payload = _payload()
+    keys = (
+        pages.select(id_order("page_id").alias("id"), _digest(payload).alias("digest"), F.length(payload).cast("long").alias("payload_bytes"))
+        .groupBy("id", "digest", "payload_bytes")
+        .agg((F.count("*") * (F.col("payload_bytes") + HEAD_BYTES)).alias("weight"))
     )
+    return stored(keys.repartitionByRange("id", "digest").withColumn("area", F.spark_partition_id()), "warc-keys")
 
 
-def _shards(rows: DataFrame, p: WarcParameters) -> tuple[int, int, np.ndarray]:
-    """Smallest id, width of a slice, and the shard of each slice."""
-    known = rows.where(F.col("id") != _NO_ID)
-    low, high = known.agg(F.min("id"), F.max("id")).first()
-    if low is None:
-        return 0, 1, np.zeros(SLICES, dtype=np.int64)
-    width = max(1, -(-(high - low + 1) // SLICES))
-    sums = (
-        known.groupBy(F.expr(f"cast((id - {low}) div {width} as int)").alias("slice"))
-        .agg(F.sum("payload_bytes").alias("bytes"), F.count("*").alias("n"))
-        .collect()  # at most SLICES rows
+def revisits(keys: DataFrame, p: WarcParameters) -> DataFrame:
+    """id, digest and first: the id of the response that each revisit refers to."""
+    long_enough = keys.where(F.col("payload_bytes") >= p.revisit_bytes)
+    repeated = (
+        long_enough.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    )
+    return long_enough.join(small_side(repeated), "digest").where("id > first").select("id", "digest", "first")
+
+
+def _ordered(ids: np.ndarray, digests: list[bytes]) -> np.ndarray:
+    """Byte strings in the order of (id, digest)."""
+    out = np.empty((len(ids), 40), dtype=np.uint8)
+    biased = (ids.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8")
+    out[:, :8] = biased.view(np.uint8).reshape(-1, 8)
+    out[:, 8:] = np.frombuffer(b"".join(digests), dtype=np.uint8).reshape(-1, 32)
+    return out.view("S40").ravel()
+
+
+def shard_bounds(keys: DataFrame, p: WarcParameters) -> np.ndarray:
+    """First (id, digest) of each shard, in order.
+
+    A shard has about ``shard_bytes`` of all bytes before compression, more where
+    there would be over MAX_SHARDS. Bounds follow from prefix sums in the order of
+    (id, digest), so clustered, far and null ids are divided like any others. Rows of one
+    id and one payload stay together.
+    """
+    areas = {r["area"]: r["weight"] for r in keys.groupBy("area").agg(F.sum("weight").alias("weight")).collect()}  # a row per task
+    total = sum(areas.values())
+    size = max(p.shard_bytes, -(-total // MAX_SHARDS))
+    before, at = [], 0
+    for area in sorted(areas):
+        before.append((area, at))
+        at += areas[area]
+    if not before:
+        return np.zeros(0, dtype="S40")
+    offsets = keys.sparkSession.createDataFrame(before, "area int, before bigint")
+    within = Window.partitionBy("area").orderBy("id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("weight").over(within), F.lit(0)) + F.col("before")
+    firsts = (
+        keys.join(F.broadcast(offsets), "area")
+        .select("id", "digest", F.floor(start / F.lit(size)).alias("shard"))
+        .groupBy("shard")
+        .agg(F.min(F.struct("id", "digest")).alias("k"))
+        .orderBy("shard")
+        .select("k.*")
+        .collect()  # at most MAX_SHARDS rows
     )
-    weight = np.zeros(SLICES, dtype=np.int64)
-    for r in sums:
-        weight[r["slice"]] = r["bytes"] + 500 * r["n"]
-    return low, width, (np.cumsum(weight) - weight) // p.shard_bytes
+    return _ordered(np.array([r["id"] for r in firsts], dtype=np.int64), [bytes(r["digest"]) for r in firsts])
 
 
 def record_id(page_id: int | None, digest: str) -> str:
@@ -145,41 +184,57 @@ class _File:
 
 def write(pages: DataFrame, folder: str, p: WarcParameters = WarcParameters()) -> DataFrame:
     """Write page_id, url, html rows as archives under ``folder``, which all executors share; returns the manifest."""
-    rows = prepared(pages, p)
-    low, width, shard_of = _shards(rows.select("id", "payload_bytes"), p)
-    last = int(shard_of[-1]) + 1
+    keys = keys_of(pages)
+    bounds = shard_bounds(keys, p)
+    n_shards = max(1, len(bounds))
 
     @F.pandas_udf("int")
-    def shard(ids):
+    def shard(ids, digests):
         import pandas as pd
 
-        x = ids.to_numpy()
-        return pd.Series(np.where(x == _NO_ID, last, shard_of[np.clip((x - low) // width, 0, SLICES - 1)]).astype(np.int32))
+        at = np.searchsorted(bounds, _ordered(ids.to_numpy(), list(digests)), side="right") - 1
+        return pd.Series(at.astype(np.int32))
 
     date, level, limit = p.date, p.level, p.file_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        done, now, at, part = [], None, None, 0
+        done, now, at, part, revisit = [], None, None, 0, (None, None, None)
         for batch in batches:
             columns = [batch.column(c) for c in ("shard", "id", "url", "payload", "digest", "first")]
             for values in zip(*columns, strict=True):
                 shard_, page_id, url, payload, digest, first = (v.as_py() for v in values)
+                if first is not None:
+                    # Not a record: it says what the records of its id and payload, which follow, refer to.
+                    revisit = (page_id, digest, first)
+                    continue
+                first = revisit[2] if revisit[:2] == (page_id, digest) else None
                 if now is not None and (shard_ != at or now.bytes >= limit):
                     done.append((at, *now.close()))
                     part, now = (part + 1 if shard_ == at else 0), None
                 if now is None:
                     at, now = shard_, _File(store, root, f"shard-{shard_:08d}-{part:05d}.warc.gz")
-                now.add(_member(record(page_id, url, payload, digest, first, date), level))
+                now.add(_member(record(page_id, url, payload, digest.hex(), first, date), level))
         if now is not None:
             done.append((at, *now.close()))
         names = ["shard", "name", "bytes", "records", "sha256"]
         kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate(kinds)], names)
 
-    placed = rows.withColumn("shard", shard("id")).repartition("shard").sortWithinPartitions("shard", "id", "digest", "url")
-    written = placed.select("shard", "id", "url", "payload", "digest", "first").transform(mapped, run, "shard int, name string, bytes bigint, records bigint, sha256 string"
+    # The payload moves once: revisits are told to a shard by rows among its records, not by a join with them.
+    payload = _payload()
+    records = pages.select(
+        id_order("page_id").alias("id"), "url", payload.alias("payload"), _digest(payload).alias("digest"), F.lit(None).cast("bigint").alias("first")
+    )
+    rows = records.unionByName(revisits(keys, p), allowMissingColumns=True)
+    placed = (
+        rows.withColumn("shard", shard("id", "digest"))
+        .repartitionById(n_shards, F.col("shard"))
+        .sortWithinPartitions("shard", "id", "digest", F.desc_nulls_last("first"), "url")
+    )
+    written = placed.select("shard", "id", "url", "payload", "digest", "first").transform(
+        mapped, run, "shard int, name string, bytes bigint, records bigint, sha256 string"
     )
     written.write.parquet(f"{folder}/manifest")
     return manifest(pages.sparkSession, folder)
@@ -236,7 +291,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     kinds = {k: v for k, v in _RECORD.items() if payloads or k != "payload"}
     files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.warc.gz").load(folder)
     listed = manifest(spark, folder).select("name", "sha256")
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(F.broadcast(listed), "name")
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(small_side(listed), "name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -295,6 +295,19 @@ def test_warc_round_trip(spark, tmp_path):
     assert got[3].url == "http://a/%20b%0A"
 
 
+def test_warc_shards_by_bytes(spark):
+    """Clustered ids, one far away and null ids: shards of about equal bytes in the order of (id, digest)."""
+    text = F.concat(F.lit("x"), F.col("id").cast("string"), F.repeat(F.lit("y"), 500))
+    row = F.when(F.col("id") == 0, F.lit(-(1 << 60))).when(F.col("id") < 200, F.col("id"))
+    pages = spark.range(400).select(row.alias("page_id"), F.lit(None).cast("string").alias("url"), text.alias("html"))
+    p = warc.WarcParameters(shard_bytes=20_000)
+    keys = warc.keys_of(pages)
+    assert len(warc.shard_bounds(keys, p)) == -(-400 * 1_003 // 20_000) and keys.count() == 400
+    assert len(warc.shard_bounds(warc.keys_of(pages.limit(0)), p)) == 0
+    got = warc.round_trip(pages, p)
+    assert got.count() == 400 and got.where("page_id is null").count() == 200
+
+
 @pytest.mark.parametrize(("name", "label"), [("op7_quality", "quality"), ("op8_toxicity", "toxic")])
 def test_classifiers_are_right_on_held_out_rows(spark, name, label):
     rows = QUERIES[name](spark, f"{DATA}/sf0.01").where("held_out")
