@@ -7,12 +7,21 @@ from siltbed.operators.mapping import (
     register_mapper,
     rejected,
     row_mapper,
+    table_mapper,
+)
+from siltbed.operators.metrics import (
+    RolloverPolicy,
+    batch_commit_metrics,
+    read_rate,
+    rollover_reason,
+    route_sketch,
+    routes_of_commits,
 )
-from siltbed.operators.metrics import RolloverPolicy, batch_commit_metrics, read_rate, rollover_reason
 from siltbed.operators.offsets import (
     incremental_scan,
     ledger_heads,
     next_offset,
+    offset_gaps,
     partition_bounds,
     repeated_messages,
     resolve_start,
@@ -33,6 +42,7 @@ __all__ = [
     "incremental_scan",
     "ledger_heads",
     "next_offset",
+    "offset_gaps",
     "partition_bounds",
     "read_rate",
     "repeated_messages",
@@ -40,8 +50,11 @@ __all__ = [
     "rejected",
     "resolve_start",
     "rollover_reason",
+    "route_sketch",
+    "routes_of_commits",
     "row_mapper",
     "settle",
     "small_side",
     "start_position",
+    "table_mapper",
 ]

@@ -16,12 +16,14 @@ import importlib
 import inspect
 import json
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import udtf
+from pyspark.sql.udtf import AnalyzeResult
 
 from siltbed.functions import (
     DEFAULT_UTC_OFFSET_HOURS,
@@ -96,7 +98,7 @@ def get_mapper(name: str | Mapper) -> Mapper:
     """A mapper by its registered name, or by ``module:name``, which imports the module first.
 
     After the colon stands a name that the module registers, or its own name of
-    a ``Mapper`` or of a class with ``eval`` (see ``row_mapper``).
+    a ``Mapper`` or of a class with ``eval`` (see ``row_mapper``, and ``table_mapper`` if it has ``configure`` too).
     """
     if isinstance(name, Mapper):
         return name
@@ -106,7 +108,8 @@ def get_mapper(name: str | Mapper) -> Mapper:
         if isinstance(found, Mapper):
             return found
         if isinstance(found, type) and hasattr(found, "eval"):
-            return Mapper(name, row_mapper(found), ROUTE_BUCKETS)
+            adapt = table_mapper if hasattr(found, "configure") else row_mapper
+            return Mapper(name, adapt(found), ROUTE_BUCKETS)
         name = own
     if name not in _REGISTRY:
         raise ValueError(f"no mapper named {name!r}; registered: {sorted(_REGISTRY)}")
@@ -210,3 +213,46 @@ def row_mapper(handler: type) -> Callable[..., DataFrame]:
         return rows.mapInArrow(run, "topic string, partition int, offset bigint, route string, line string")
 
     return transform
+
+
+def table_mapper(handler: type) -> Callable[..., DataFrame]:
+    """Mapper from a Python class that is set up once, as a table function joined to the log laterally.
+
+    One ``handler()`` is made per task and topic. ``configure(topic, output,
+    parameters)`` is called on it before its first message, with the job's output
+    root and its parameters, parsed when the query is analysed: parameters that
+    are no JSON object, or that the class's optional ``check(parameters)`` refuses,
+    fail before any task starts. ``eval(partition, next_offset, key, message)``
+    yields any number of ``(route, line)`` pairs.
+    """
+
+    def transform(log: DataFrame, *, output: str = "", **parameters) -> DataFrame:
+        @dataclass
+        class Configured(AnalyzeResult):
+            settings: dict = field(default_factory=dict)
+
+        class Mapped:
+            @staticmethod
+            def analyze(topic, partition, next_offset, key, message, output, parameters):
+                settings = json.loads(parameters.value)
+                if hasattr(handler, "check"):
+                    handler.check(settings)
+                columns = T.StructType([T.StructField(name, T.StringType()) for name in ("route", "line")])
+                return Configured(schema=columns, settings=settings)
+
+            def __init__(self, configured):
+                self.settings, self.handlers = configured.settings, {}
+
+            def eval(self, topic, partition, next_offset, key, message, output, parameters):
+                if topic not in self.handlers:
+                    self.handlers[topic] = handler()
+                    self.handlers[topic].configure(topic, output, self.settings)
+                yield from self.handlers[topic].eval(partition, next_offset, key, message)
+
+        names = ("topic", "partition", "offset", "key", "value")
+        topic, partition, offset, key, value = (F.col(name).outer() for name in names)
+        settings = (F.lit(output), F.lit(json.dumps(parameters, sort_keys=True)))
+        mapped = udtf(Mapped)(topic, partition, offset + 1, key, value, *settings)
+        return log.select(*names).lateralJoin(mapped).select("topic", "partition", "offset", "route", "line")
+
+    return transform

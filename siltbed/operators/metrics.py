@@ -62,6 +62,27 @@ def batch_commit_metrics(mapped: DataFrame, *extra_keys: str) -> DataFrame:
     )
 
 
+#: Bits of a route sketch's size: its estimates have a standard error of about 1.04 / sqrt(2^12), 1.6 %.
+SKETCH_BITS = 12
+
+
+def route_sketch(route: Column) -> Column:
+    """Aggregate: a mergeable sketch of the distinct routes, a few KB at most however many there are."""
+    return F.hll_sketch_agg(route, F.lit(SKETCH_BITS))
+
+
+def routes_of_commits(commits: DataFrame) -> DataFrame:
+    """(topic, partition, n_commits, n_routes): estimated distinct routes over all commits, from their sketches alone.
+
+    ``commits`` are ledger rows. One without a sketch counts as a commit without routes.
+    """
+    merged = F.hll_sketch_estimate(F.hll_union_agg("routes_sketch"))
+    return commits.groupBy(*KEYS).agg(
+        F.count("*").alias("n_commits"),
+        F.when(F.count("routes_sketch") > 0, merged).otherwise(F.lit(0)).cast("bigint").alias("n_routes"),
+    )
+
+
 def rollover_reason(
     fetch_chars: Column, age_ms: Column, n_routes: Column, policy: RolloverPolicy = RolloverPolicy()
 ) -> Column:

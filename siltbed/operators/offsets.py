@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.operators.small_side import MAX_BROADCAST_ROWS, small_side
@@ -134,3 +134,21 @@ def incremental_scan(log: DataFrame, starts: DataFrame, max_rows: int = MAX_BROA
         .where(F.col("offset") >= F.col("start_offset"))
         .drop("start_offset")
     )
+
+
+def offset_gaps(ranges: DataFrame) -> DataFrame:
+    """(topic, partition, gap_start, gap_next, n_missing): offsets between ranges of a partition that none covers.
+
+    ``ranges`` has (topic, partition, start_offset, next_offset), in any order and
+    with overlaps; empty ranges cover nothing. A gap is where the log no longer
+    held what was wanted, or where a later start was asked for. Nothing is reported
+    before a partition's first range and after its last.
+    """
+    along = Window.partitionBy(*KEYS).orderBy("start_offset", "next_offset")
+    reach = F.max("next_offset").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    covered = ranges.where(F.col("start_offset") < F.col("next_offset"))
+    return (
+        covered.select(*KEYS, reach.alias("gap_start"), F.col("start_offset").alias("gap_next"))
+        .where(F.col("gap_start") < F.col("gap_next"))
+        .withColumn("n_missing", F.col("gap_next") - F.col("gap_start"))
+    )

@@ -38,6 +38,7 @@ from siltbed.operators import (
 from siltbed.plans.messages import TOPIC, before_cut, binary_records, events, is_first_half, messages
 from siltbed.scratch import scratch_dir
 from siltbed.sources import FileLog, FrameLog, decode_messages, tail_log
+from siltbed.sources.zones import FileZones
 from siltbed.streaming import (
     LandingJob,
     OffsetLedger,
@@ -139,6 +140,16 @@ def incremental_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+@query
+def incremental_scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from log files, of which only those past their own partitions' starts are read."""
+    path = scratch_dir(spark, "log")
+    for half in _halves(messages(spark, sf_dir)):
+        append_log_files(half, path)
+    zones = FileZones(spark, path, scratch_dir(spark, "zones"))
+    return zones.scan(_resolved(spark, sf_dir, "earliest")).select(*KEYS, "key", "value")
+
+
 @query
 def commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two commits, the second for even partitions only; then the saved positions."""
@@ -505,6 +516,49 @@ def rollover_of_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.select(*columns, reason.alias("rollover_reason"))
 
 
+@query
+def routes_of_commits_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct routes over two commits, with whether the merged sketches' estimate is within three standard errors."""
+    job = _job(spark, messages(spark, sf_dir))
+    for batch_id, half in enumerate(_halves(messages(spark, sf_dir))):
+        job.land_batch(half, batch_id)
+    exact = job.committed(spark).groupBy("topic", "partition").agg(F.count_distinct("event_day", "event_hour").alias("n_exact"))
+    near = F.abs(F.col("n_routes") - F.col("n_exact")) <= F.greatest(F.lit(1), F.lit(3 * 1.04 / 64) * F.col("n_exact"))
+    both = job.routes(spark).join(exact, ["topic", "partition"])
+    return both.select("topic", "partition", "n_commits", F.col("n_exact").alias("n_routes"), near.alias("is_near"))
+
+
+@query
+def offset_gaps_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that loses its middle between two batches: what no commit covers."""
+    log = messages(spark, sf_dir)
+    cuts = small_side(before_cut(_bounds(log)))
+    placed = log.join(cuts, ["topic", "partition"])
+    job = _job(spark, log)
+    job.land_batch(placed.where(F.col("offset") < F.col("cut") - 3 * F.col("partition")).drop("cut"), 0)
+    job.land_batch(placed.where(F.col("offset") >= F.col("cut")).drop("cut"), 1)
+    return job.gaps(spark)
+
+
+@query
+def ledger_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions after more commits than a segment holds, read from a snapshot and the entries after it."""
+    bounds = _bounds(messages(spark, sf_dir))
+    ledger = OffsetLedger(spark, scratch_dir(spark, "ledger"))
+    ledger.SNAPSHOT_EVERY = 3
+    step = F.call_function("div", F.col("latest"), F.lit(7))
+    for batch_id in range(7):
+        ranges = bounds.where(F.col("partition") <= batch_id).select(
+            "topic", "partition", F.lit(GROUP).alias("grp"), (batch_id * step).alias("start_offset"),
+            ((batch_id + 1) * step).alias("next_offset"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(f"c{batch_id}").alias("commit_key"),
+        )
+        ledger.append(ranges.where(F.col("partition") != 6 - batch_id), TOPIC, batch_id)
+    heads = ledger.heads(GROUP)
+    commits = ledger.commits(GROUP).groupBy("topic", "partition").agg(F.count("*").alias("n_commits"))
+    return heads.join(commits, ["topic", "partition"])
+
+
 # -- mappers chosen by name ----------------------------------------------------
 
 
@@ -527,6 +581,14 @@ def mapper_row_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     return get_mapper("alert_rows")(messages(spark, sf_dir)).select(*KEYS, "route", "line")
 
 
+@query
+def mapper_udtf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fan-out by a table function that is set up with the job's output and parameters, landed and read back."""
+    job = _job(spark, messages(spark, sf_dir), mapper="alert_table", parameters='{"folder": "alerts", "types": ["error", "purchase"]}')
+    job.run_batch(spark)
+    return job.committed(spark).select(*KEYS, "route", "line")
+
+
 # -- producer ------------------------------------------------------------------
 
 

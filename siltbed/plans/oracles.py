@@ -108,6 +108,8 @@ from messages where "partition" = 0""",
     "resolve_start_earliest": f'select topic, "partition", {_start("-1")} as start_offset from starts',
     "resolve_start_latest": f'select topic, "partition", {_start("9223372036854775807")} as start_offset from starts',
     "incremental_scan": f"""
+select {KEYS}, key, value from messages join starts using (topic, "partition") where "offset" >= {_start("-1")}""",
+    "incremental_scan_pruned": f"""
 select {KEYS}, key, value from messages join starts using (topic, "partition") where "offset" >= {_start("-1")}""",
     "commit_ledger": f"""
 select topic, '{GROUP}' as grp, "partition", case when "partition" % 2 = 0 then latest else latest // 2 end as next_offset
@@ -176,6 +178,15 @@ from (
     cast(case "offset" // {ROLLOVER_BLOCK} when 0 then 600000 when 1 then 1900000 else 500 end as bigint) as age_ms
   from sized where "offset" // {ROLLOVER_BLOCK} < 2 or ("offset" // {ROLLOVER_BLOCK} = 2 and "offset" % 8 = 0)
   group by all)""",
+    "routes_of_commits": """
+select topic, "partition", cast(2 as bigint) as n_commits, count(distinct route) as n_routes, true as is_near
+from routed where reject_reason is null group by all""",
+    "offset_gaps": """
+select topic, "partition", latest // 2 - 3 * "partition" as gap_start, latest // 2 as gap_next, cast(3 * "partition" as bigint) as n_missing
+from bounds where "partition" > 0""",
+    "ledger_snapshot": """
+select topic, "partition", cast(max((b + 1) * (latest // 7)) as bigint) as saved_offset, count(*) as n_commits
+from bounds, range(7) as r(b) where "partition" <= b and "partition" <> 6 - b group by all""",
     "late_file_log": f"""
 select {KEYS}, case when "offset" < latest // 2 then 'behind_position' else coalesce(reject_reason, 'landed') end as outcome
 from routed join bounds using (topic, "partition")""",
@@ -193,6 +204,7 @@ select {KEYS}, 'kind/' || string_split(value, ',')[3] as route, value as line
 from fields where n_fields > 2""",
     "mapper_fanout": _FANOUT,
     "mapper_row_function": _FANOUT,
+    "mapper_udtf": _FANOUT,
     "producer_payload": "select cast(event_id as varchar) as key, cast(event_id as varchar) as value from events",
     "produced_log": f"select {KEYS}, key, value from messages",
 }

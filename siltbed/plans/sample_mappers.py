@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.functions import field_at
-from siltbed.operators.mapping import register_mapper, row_mapper
+from siltbed.operators.mapping import register_mapper, row_mapper, table_mapper
 from siltbed.operators.settle import settle
 
 TYPE_FIELD = 2
@@ -54,4 +54,28 @@ def alert_rows_handler() -> type:
     return AlertRows
 
 
+def alert_table_handler() -> type:
+    """The rule again with a set-up call, which takes the types and the folder from the job's parameters."""
+
+    class AlertTable:
+        @staticmethod
+        def check(parameters):
+            if not isinstance(parameters.get("types", []), list):
+                raise ValueError("types must be a list")
+
+        def configure(self, topic, output, parameters):
+            self.types, self.folder = parameters.get("types", DEFAULT_ALERT_TYPES), parameters.get("folder", "alerts")
+
+        def eval(self, partition, next_offset, key, message):
+            if message is None:
+                return
+            yield "all", message
+            fields = message.split(",")
+            if len(fields) > TYPE_FIELD and fields[TYPE_FIELD] in self.types:
+                yield f"{self.folder}/{fields[TYPE_FIELD]}", message
+
+    return AlertTable
+
+
+register_mapper("alert_table")(table_mapper(alert_table_handler()))
 register_mapper("alert_rows")(row_mapper(alert_rows_handler()))

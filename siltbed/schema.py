@@ -11,6 +11,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "date": T.DateType(),
+    "binary": T.BinaryType(),
 }
 
 
@@ -22,12 +23,20 @@ def _schema(columns: str) -> T.StructType:
 LOG_SCHEMA = _schema("topic string, partition int, offset bigint, key string, value string")
 
 # One row per topic-partition and commit; next_offset is exclusive. Messages and characters are those the batch
-# read at or past the saved position; the times are epoch milliseconds of the batch's start and its ledger entry.
+# read at or past the saved position; the times are epoch milliseconds of the batch's start and its ledger entry;
+# the sketch counts the routes of its landed rows and can be merged with others.
 LEDGER_SCHEMA = _schema(
     "topic string, grp string, partition int, start_offset bigint, next_offset bigint, "
-    "batch_id bigint, commit_key string, n_messages bigint, fetch_chars bigint, opened_ms bigint, committed_ms bigint"
+    "batch_id bigint, commit_key string, n_messages bigint, fetch_chars bigint, opened_ms bigint, committed_ms bigint, "
+    "routes_sketch binary"
 )
 
+# What a ledger's snapshot keeps of it.
+LEDGER_HEADS_SCHEMA = _schema("topic string, grp string, partition int, next_offset bigint")
+
+# Offsets that one file of a log holds of a partition; topic and partition are null for a file without rows.
+ZONES_SCHEMA = _schema("path string, uri string, topic string, partition int, earliest bigint, latest bigint")
+
 # Start-offset input: latest is exclusive.
 BOUNDS_SCHEMA = _schema("topic string, partition int, earliest bigint, latest bigint")
 

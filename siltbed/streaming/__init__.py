@@ -1,4 +1,5 @@
 from siltbed.streaming.landing import LandingJob, OutOfOrderError
+from siltbed.streaming.ledger import FencedWriterError, OffsetLedger
 from siltbed.streaming.sinks import (
     append_log_files,
     export_named_text,
@@ -10,9 +11,10 @@ from siltbed.streaming.sinks import (
     read_named_text,
     read_text,
 )
-from siltbed.streaming.tables import OffsetLedger, read_landed, read_rejected, write_messages
+from siltbed.streaming.tables import read_landed, read_rejected, write_messages
 
 __all__ = [
+    "FencedWriterError",
     "LandingJob",
     "OffsetLedger",
     "OutOfOrderError",

@@ -14,6 +14,7 @@ with the reason ``behind_position``; nothing a stream reads goes without trace.
 
 from __future__ import annotations
 
+import inspect
 import json
 import logging
 import time
@@ -31,13 +32,14 @@ from pyspark.sql.streaming import StreamingQuery
 from siltbed.functions import hour_route, utf16_length
 from siltbed.operators.committed import committed_read, disjoint_ranges
 from siltbed.operators.mapping import Mapper, get_mapper
-from siltbed.operators.metrics import RolloverPolicy, read_rate
-from siltbed.operators.offsets import EARLIEST, KEYS, next_offset, partition_bounds, repeated_messages, resolve_start
+from siltbed.operators.metrics import RolloverPolicy, read_rate, route_sketch, routes_of_commits
+from siltbed.operators.offsets import EARLIEST, KEYS, next_offset, offset_gaps, partition_bounds, repeated_messages, resolve_start
 from siltbed.operators.small_side import MAX_BROADCAST_ROWS, small_side
 from siltbed.sources.log import FileLog, FrameLog, KafkaLog, kafka_starting_offsets
+from siltbed.streaming.ledger import OffsetLedger
 from siltbed.streaming.tables import (
+    LANDED,
     REJECTED,
-    OffsetLedger,
     path_exists,
     read_commit,
     read_landed,
@@ -181,7 +183,7 @@ class LandingJob:
             bounds = partition_bounds(self.source.read(spark).where(F.col("topic") == self.topic))
             starts = resolve_start(bounds, saved, explicit=explicit, policy=self.auto_offset_reset)
             # Saved as empty ranges, so that a restart before the first commit starts from the same place.
-            ledger.append(self._ranges(starts.withColumn("next_offset", F.col("start_offset")), OPENING_BATCH))
+            ledger.append(self._ranges(starts.withColumn("next_offset", F.col("start_offset")), OPENING_BATCH), self.topic)
         return self.source
 
     def _open_topic(self, saved: DataFrame, explicit: int | None) -> KafkaLog:
@@ -225,7 +227,9 @@ class LandingJob:
         lands once: the batch is then written again.
 
         ``commit=False`` leaves the rows provisional, as a failure just before the
-        ledger write would.
+        ledger write would. So does a second writer of the topic that commits while
+        this batch runs: the batch fails with FencedWriterError, and when it is offered
+        again it starts from the other's positions.
         """
         opened_ms = self.clock()
         ledger = OffsetLedger(batch.sparkSession, self.output)
@@ -234,6 +238,8 @@ class LandingJob:
         elif ledger.has_commit(commit_key):
             LOGGER.info("batch %s is already committed", batch_id)
             return
+        # Before the positions are read: a commit of another writer from here on is noticed by its number.
+        entry = ledger.last(self.topic)
         heads = small_side(ledger.heads(self.group), self.max_broadcast_rows)
         rows = (
             self._inputs(batch)
@@ -261,7 +267,8 @@ class LandingJob:
             if late is not None:
                 ranges = self._with_late(ranges, late, ledger, kept)
             if commit and ranges is not None:
-                ledger.append(self._ranges(ranges, batch_id, commit_key, opened_ms, self.clock()))
+                ranges = ranges.join(self._sketches(batch.sparkSession, commit_key), KEYS, "left")
+                ledger.append(self._ranges(ranges, batch_id, commit_key, opened_ms, self.clock()), self.topic, entry)
                 LOGGER.info("batch %s is committed", batch_id)
         finally:
             for frame in kept:
@@ -328,6 +335,12 @@ class LandingJob:
         )
         return empty if ranges is None else ranges.select(*columns).unionByName(empty)
 
+    def _sketches(self, spark: SparkSession, commit_key: str) -> DataFrame:
+        """Route sketch per topic-partition of the commit's landed rows; of the buckets, only the directories' names are read."""
+        rows = read_commit(spark, self.output, commit_key, self.mapper.buckets).where(F.col("outcome") == LANDED)
+        route = F.concat_ws("/", *(F.col(name).cast("string") for name in self.mapper.buckets.fieldNames()))
+        return rows.groupBy(*KEYS).agg(route_sketch(route).alias("routes_sketch"))
+
     def _inputs(self, log: DataFrame) -> DataFrame:
         """What the mapper reads, and the message, whose size every commit records."""
         return log.select(*KEYS, "offset", *dict.fromkeys((*self.mapper.inputs, "value")))
@@ -348,9 +361,12 @@ class LandingJob:
         )
         kept.append(ranges)
         behind = F.count_if(F.col("start_offset") < F.col("saved_offset")).alias("n_behind")
-        totals = ranges.agg(F.count("*").alias("n"), behind).first()
+        beyond = F.count_if(F.col("start_offset") > F.col("saved_offset")).alias("n_beyond")
+        totals = ranges.agg(F.count("*").alias("n"), behind, beyond).first()
         if totals["n_behind"]:
             raise OutOfOrderError(f"{totals['n_behind']} partitions hold messages behind their saved position")
+        if totals["n_beyond"]:
+            LOGGER.warning("%s partitions of %s start past their saved position; see gaps()", totals["n_beyond"], self.topic)
         return ranges if totals["n"] else None
 
     def _ranges(
@@ -367,6 +383,11 @@ class LandingJob:
         )
 
     def _mapper_arguments(self) -> dict:
+        # The output root goes to mappers that name it.
+        named = inspect.signature(self.mapper.transform).parameters
+        return {**({"output": self.output} if "output" in named else {}), **self._parameters()}
+
+    def _parameters(self) -> dict:
         if isinstance(self.parameters, dict):
             return self.parameters
         if not self.parameters.strip():
@@ -394,6 +415,14 @@ class LandingJob:
         placed = self._committed(spark, read_rejected).where(~behind)
         return placed.unionByName(committed_read(late, keys, self.max_broadcast_rows))
 
+    def gaps(self, spark: SparkSession) -> DataFrame:
+        """Offsets between the first and the last committed one that no commit covers; see ``offset_gaps``."""
+        return offset_gaps(OffsetLedger(spark, self.output).commits(self.group).where(F.col("topic") == self.topic))
+
+    def routes(self, spark: SparkSession) -> DataFrame:
+        """Estimated distinct routes per partition over all commits, without reading landed rows."""
+        return routes_of_commits(OffsetLedger(spark, self.output).commits(self.group).where(F.col("topic") == self.topic))
+
     def commit_metrics(self, spark: SparkSession) -> DataFrame:
         """Messages, characters, open routes, offset range and times of each committed batch and partition.
 

@@ -2,7 +2,7 @@
 
     <root>/messages/commit_key=/outcome=landed/topic=/<buckets>/
     <root>/messages/commit_key=/outcome=rejected/topic=/...
-    <root>/ledger/
+    <root>/ledger/, <root>/ledger_heads/   (see ``ledger``)
 
 Landed and rejected rows are one write, so a batch is scanned and parsed once.
 Each commit key is its own folder: writing a batch again replaces that folder
@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.functions import utf16_length
-from siltbed.operators.offsets import ledger_heads
-from siltbed.schema import HOUR_BUCKETS, LEDGER_SCHEMA, messages_schema
+from siltbed.schema import HOUR_BUCKETS, messages_schema
 
 LANDED, REJECTED = "landed", "rejected"
 
@@ -109,45 +108,3 @@ def read_rejected(spark: SparkSession, root: str, buckets: T.StructType = HOUR_B
     """Every rejected row on disk with the reason, committed or not."""
     rows = read_messages(spark, root, buckets)
     return rows.where(F.col("outcome") == REJECTED).drop("outcome", "chars", *buckets.fieldNames())
-
-
-class OffsetLedger:
-    """Committed offset ranges, one small file per commit.
-
-    The saved position of a partition is the largest next_offset of its rows.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.path = f"{root}/ledger"
-
-    def read(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, LEDGER_SCHEMA)
-
-    def heads(self, group: str) -> DataFrame:
-        return ledger_heads(self.read(), group)
-
-    def commits(self, group: str) -> DataFrame:
-        """Ranges of the group's batches, without those that only record a start position."""
-        return self.read().where((F.col("grp") == group) & (F.col("commit_key") != ""))
-
-    def commit_keys(self, group: str) -> DataFrame:
-        """One row per topic and commit of the group."""
-        return self.read().where(F.col("grp") == group).select("topic", "commit_key").distinct()
-
-    def has_commit(self, commit_key: str) -> bool:
-        return not self.read().where(F.col("commit_key") == commit_key).isEmpty()
-
-    def append(self, ranges: DataFrame) -> None:
-        """Add ranges in one file, so that a commit is visible whole or not at all."""
-        unset = {f.name: F.lit(None).cast(f.dataType) for f in LEDGER_SCHEMA.fields if f.name not in ranges.columns}
-        entry = ranges.withColumns(unset).select(*LEDGER_SCHEMA.fieldNames())
-        entry.coalesce(1).write.mode("append").parquet(self.path)
-
-    def commit(self, ranges: DataFrame) -> None:
-        """Append ranges, refusing any that starts below its partition's saved position."""
-        heads = self.read().groupBy("topic", "grp", "partition").agg(F.max("next_offset").alias("saved_offset"))
-        behind = ranges.join(heads, ["topic", "grp", "partition"]).where(F.col("start_offset") < F.col("saved_offset"))
-        if not behind.isEmpty():
-            raise ValueError("offset range overlaps one already committed; a rewind needs a new output root")
-        self.append(ranges)

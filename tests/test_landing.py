@@ -14,6 +14,7 @@ from siltbed.operators import (
 )
 from siltbed.sources import FileLog, FrameLog, KafkaLog
 from siltbed.streaming import (
+    FencedWriterError,
     LandingJob,
     OffsetLedger,
     OutOfOrderError,
@@ -495,3 +496,48 @@ def test_free_text_parameters_and_frames(spark, log_of, tmp_path):
     assert job.committed(spark).count() == 1
     with pytest.raises(ValueError, match="run_batch"):
         job.start(spark)
+
+
+def test_a_second_writer_fails_by_name(spark, log_of, tmp_path, monkeypatch):
+    """Another writer commits while a batch runs: the batch leaves no row to readers, and lands when offered again."""
+    job, other = (job_for(tmp_path, FrameLog(log_of([]))) for _ in range(2))
+    real = landing_module.write_messages
+
+    def overtaken(*arguments, **settings):
+        monkeypatch.setattr(landing_module, "write_messages", real)
+        other.land_batch(log_of([(0, 0, message(1, "other")), (0, 1, message(1, "other"))]), 0, commit_key="theirs")
+        real(*arguments, **settings)
+
+    monkeypatch.setattr(landing_module, "write_messages", overtaken)
+    batch = log_of([(0, o, message(2, "own")) for o in range(3)])
+    nothing = OffsetLedger(spark, job.output).heads("g")
+    with pytest.raises(FencedWriterError, match="entry 1 of 't'.*'theirs'"):
+        job.land_batch(batch, 0, nothing, commit_key="ours")
+    assert job.committed(spark).where("line like 'other%'").count() == job.committed(spark).count() == 2
+    job.land_batch(batch, 0, commit_key="ours")
+    assert offsets_of(job.committed(spark)) == [(0, 0), (0, 1), (0, 2)]
+
+
+def test_ledger_reads_stay_flat(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(OffsetLedger, "SNAPSHOT_EVERY", 8)
+    ledger, files = OffsetLedger(spark, str(tmp_path)), []
+    columns = "topic string, partition int, start_offset bigint, next_offset bigint, grp string, commit_key string"
+    for n in range(27):
+        ledger.append(spark.createDataFrame([("a-b/c", 0, n, n + 1, "g", f"k{n}")], columns), "a-b/c")
+        files.append(len(ledger.heads("g").inputFiles()))
+    assert max(files) <= 8 and len(ledger.read().inputFiles()) == 3 + 3
+    assert ledger.read().count() == 27 and ledger.heads("g").first().saved_offset == 27
+    assert ledger.has_commit("k3") and ledger.has_commit("k26") and not ledger.has_commit("k27")
+    # A writer that dies before its segment and snapshot: the entries still tell all.
+    monkeypatch.setattr(ledger, "_snapshot", lambda *arguments: None)
+    for n in range(27, 34):
+        ledger.append(spark.createDataFrame([("a-b/c", 0, n, n + 1, "g", f"k{n}")], columns), "a-b/c")
+    assert ledger.read().count() == 34 and ledger.heads("g").first().saved_offset == 34
+
+
+def test_gaps_between_commits(spark, log_of, tmp_path):
+    job = job_for(tmp_path, FrameLog(log_of([])))
+    job.land_batch(log_of([(0, o, message(o)) for o in (3, 4)] + [(1, 0, message(1))]), 0)
+    assert job.gaps(spark).count() == 0
+    job.land_batch(log_of([(0, o, message(o)) for o in (9, 10)] + [(1, 1, message(1))]), 1)
+    assert [tuple(r) for r in job.gaps(spark).collect()] == [("t", 0, 5, 9, 4)]

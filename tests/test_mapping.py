@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from siltbed.operators import accepted, csv_hour_mapper, get_mapper, register_mapper, rejected, row_mapper
+from siltbed.operators import accepted, csv_hour_mapper, get_mapper, register_mapper, rejected, row_mapper, table_mapper
 from siltbed.operators import mapping
 
 HEAD = "a,b,c,d,e,f,g,h,i"
@@ -91,3 +91,28 @@ def test_row_mapper_emits_zero_to_many(log_of):
 
     rows = row_mapper(Repeat)(log_of([(1, 7, "m"), (1, 8, None)]), times=2).orderBy("line").collect()
     assert [(r.route, r.line, r.offset) for r in rows] == [("t/1", "8:k7:m:0", 7), ("t/1", "8:k7:m:1", 7)]
+
+
+def test_table_mapper_is_set_up_once_per_task(log_of):
+    def handler():
+        class Counted:
+            def configure(self, topic, output, parameters):
+                import uuid
+
+                self.own, self.settings = uuid.uuid4().hex, (topic, output, parameters["times"])
+
+            def eval(self, partition, next_offset, key, message):
+                for i in range(self.settings[2] if message else 0):
+                    yield self.own, f"{self.settings[0]}{self.settings[1]}:{next_offset}:{key}:{message}:{i}"
+
+        return Counted
+
+    log = log_of([(0, o, "m" if o else None) for o in range(40)]).repartition(3)
+    rows = table_mapper(handler())(log, output="/out", times=2).collect()
+    assert len(rows) == 2 * 39 and len({r.route for r in rows}) <= 3
+    assert sorted(r.line for r in rows if r.offset == 7) == ["t/out:8:k7:m:0", "t/out:8:k7:m:1"]
+
+
+def test_table_mapper_checks_parameters_before_it_runs(log_of):
+    with pytest.raises(Exception, match="types must be a list"):
+        get_mapper("alert_table")(log_of([(0, 0, "x")]), types="error").schema

@@ -1,11 +1,13 @@
 import json
 
 import pytest
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from siltbed.operators import incremental_scan, ledger_heads, partition_bounds, resolve_start, small_side
 from siltbed.schema import BOUNDS_SCHEMA, LEDGER_SCHEMA
-from siltbed.sources import KafkaLog, decode_messages, kafka_starting_offsets, tail_log
+from siltbed.sources import FileLog, KafkaLog, decode_messages, kafka_starting_offsets, print_tail, tail_log
+from siltbed.sources.zones import FileZones
 from siltbed.streaming import OffsetLedger
 
 # partition, saved, explicit, start under earliest, start under latest, start under none
@@ -80,7 +82,8 @@ def test_ledger_heads_and_overlap(spark, tmp_path):
     assert ledger.read().count() == 0
 
     def rows(*ranges):
-        return spark.createDataFrame([("t", "g", p, s, n, b, "") for p, s, n, b in ranges], LEDGER_SCHEMA)
+        columns = T.StructType(LEDGER_SCHEMA.fields[:7])
+        return spark.createDataFrame([("t", "g", p, s, n, b, "") for p, s, n, b in ranges], columns)
 
     ledger.commit(rows((0, 0, 10, 0), (1, 5, 9, 0)))
     ledger.commit(rows((0, 10, 30, 1)))
@@ -117,3 +120,33 @@ def test_next_offset_reaches_mappers(log_of):
     from siltbed.operators import next_offset
 
     assert log_of([(0, 41, "x")]).select(next_offset(F.col("offset"))).first()[0] == 42
+
+
+def test_zones_read_only_files_past_their_own_partitions_start(spark, log_of, tmp_path):
+    log_path, columns = str(tmp_path / "a log"), "topic string, partition int, start_offset bigint"
+    for low in range(0, 40, 10):
+        for partition in (0, 1):
+            log_of([(partition, o, "v") for o in range(low, low + 10)]).coalesce(1).write.mode("append").parquet(log_path)
+    zones = FileZones(spark, log_path, str(tmp_path / "zones"))
+    starts = spark.createDataFrame([("t", 0, 2), ("t", 1, 35)], columns)  # partition 0 lags
+    got = zones.scan(starts)
+    assert {(r.partition, r.offset) for r in got.collect()} == {(0, o) for o in range(2, 40)} | {(1, o) for o in range(35, 40)}
+    assert len(zones.files_past(starts)) == 4 + 1
+    log_of([(1, 40, "v")]).coalesce(1).write.mode("append").parquet(log_path)
+    log_of([]).coalesce(1).write.mode("append").parquet(log_path)
+    late = spark.createDataFrame([("t", 1, 40)], columns)
+    assert [r.offset for r in zones.scan(late).collect()] == [40] and len(zones.files_past(late)) == 1
+    known = zones.read().count()
+    assert zones.scan(spark.createDataFrame([("t", 1, 41)], columns)).count() == 0 and zones.read().count() == known
+    assert FileZones(spark, log_path, str(tmp_path / "other")).read().count() == 0
+
+
+def test_print_tail_prints_one_partition(spark, log_of, tmp_path):
+    log_path = str(tmp_path / "log")
+    log_of([(0, 4, "shown"), (0, 5, None), (1, 0, "other")]).write.parquet(log_path)
+    query = print_tail(FileLog(log_path), spark, str(tmp_path / "checkpoint"))
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None and "Console" in query.lastProgress["sink"]["description"]
+    read = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(read) == 1 and read[0]["sink"]["numOutputRows"] in (2, -1)
