@@ -27,6 +27,7 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--min-partitions", type=int, help="read tasks to split the topic into")
     parser.add_argument("--checkpoint")
     parser.add_argument("--rebalance", action="store_true", help="gather files per directory before writing")
+    parser.add_argument("--compact", action="store_true", help="then gather the landed rows by day")
     parser.add_argument("--continuous", action="store_true", help="keep running instead of stopping at the log's end")
     return parser
 
@@ -65,6 +66,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(job.app_name).getOrCreate()
     # The job's rollover limits bound a batch by the cluster and its measured rate; the next one follows at once.
     job.start(spark, processing_time="0 seconds" if args.continuous else None).awaitTermination()
+    if args.compact:
+        job.compact(spark)
 
 
 if __name__ == "__main__":

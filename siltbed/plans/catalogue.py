@@ -497,6 +497,41 @@ def committed_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.committed(spark).select(*LANDED_COLUMNS, "commit_key")
 
 
+def _thirds(log: DataFrame) -> list[DataFrame]:
+    """The log cut in three at a third and two thirds of each partition's offsets."""
+    bounds = small_side(_bounds(log).select("topic", "partition", F.call_function("div", F.col("latest"), F.lit(3)).alias("third")))
+    placed = log.join(bounds, ["topic", "partition"])
+    at, third = F.col("offset"), F.col("third")
+    parts = (at < third, (at >= third) & (at < 2 * third), at >= 2 * third)
+    return [placed.where(part).drop("third") for part in parts]
+
+
+@query
+def compacted_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three commits: two are compacted, one after the other, a third compaction dies before its entry.
+
+    Each line comes with the commit that landed it.
+    """
+    log = messages(spark, sf_dir)
+    job = _job(spark, log)
+    for batch_id, part in enumerate(_thirds(log)):
+        job.land_batch(part, batch_id, commit_key=f"batch-{batch_id}")
+        job.compact(spark, commit=batch_id < 2)
+    return job.committed(spark).select(*LANDED_COLUMNS, "commit_key")
+
+
+@query
+def compacted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first and the last day of the log, read by day after a compaction of two commits."""
+    log = messages(spark, sf_dir)
+    job = _job(spark, log)
+    for batch_id, half in enumerate(_halves(log)):
+        job.land_batch(half, batch_id)
+    job.compact(spark)
+    ends = accepted(csv_hour_mapper(log)).agg(F.min("event_day"), F.max("event_day")).first()
+    return job.committed(spark, days=list(ends)).select(*LANDED_COLUMNS)
+
+
 @query
 def rollover_of_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Why each of three commits was due, by the size, age and routes that the ledger and the table record.

@@ -169,6 +169,12 @@ select topic, "partition", 'b', 1, 0, 0, latest, latest, 0 from bounds where "pa
     "committed_overlap": f"""
 select {KEYS}, event_day, event_hour, value as line, case when "offset" < 2 * (latest // 3) then 'lower' else 'upper' end as commit_key
 from routed join bounds using (topic, "partition") where reject_reason is null""",
+    "compacted_read": f"""
+select {KEYS}, event_day, event_hour, value as line,
+  case when "offset" < latest // 3 then 'batch-0' when "offset" < 2 * (latest // 3) then 'batch-1' else 'batch-2' end as commit_key
+from routed join bounds using (topic, "partition") where reject_reason is null""",
+    "compacted_days": f"""{_LANDED} and event_day in (
+  select unnest([min(event_day), max(event_day)]) from routed where reject_reason is null)""",
     "rollover_of_commits": f"""
 select *, case when fetch_chars >= {SMALL_POLICY.max_chars} then 'size'
   when age_ms >= {SMALL_POLICY.max_age_ms} then 'age' when n_routes >= {SMALL_POLICY.max_routes} then 'paths' end as rollover_reason

@@ -34,6 +34,9 @@ LEDGER_SCHEMA = _schema(
 # What a ledger's snapshot keeps of it.
 LEDGER_HEADS_SCHEMA = _schema("topic string, grp string, partition int, next_offset bigint")
 
+# What a compaction put in, took out and holds since: a pack of a day, or a commit.
+MANIFEST_SCHEMA = _schema("action string, day string, pack string, commit_key string, n_rows bigint")
+
 # Offsets that one file of a log holds of a partition; topic and partition are null for a file without rows.
 ZONES_SCHEMA = _schema("path string, uri string, topic string, partition int, earliest bigint, latest bigint")
 
@@ -54,3 +57,10 @@ def messages_schema(buckets: T.StructType) -> T.StructType:
     data = _schema("partition int, offset bigint, line string, reject_reason string, chars int")
     directories = _schema("commit_key string, outcome string, topic string")
     return T.StructType([*data.fields, *directories.fields, *buckets.fields])
+
+
+def packs_schema(buckets: T.StructType) -> T.StructType:
+    """Rows of the packs: those of landed messages, with the day's directory above the pack's."""
+    data = _schema("partition int, offset bigint, line string, commit_key string")
+    first, *others = buckets.fields
+    return T.StructType([*data.fields, *_schema("topic string").fields, first, *_schema("pack string").fields, *others])

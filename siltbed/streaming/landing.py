@@ -37,12 +37,14 @@ from siltbed.operators.offsets import EARLIEST, KEYS, next_offset, offset_gaps,
 from siltbed.operators.small_side import MAX_BROADCAST_ROWS, small_side
 from siltbed.sources.log import FileLog, FrameLog, KafkaLog, kafka_starting_offsets
 from siltbed.streaming.ledger import OffsetLedger
+from siltbed.streaming.packs import MAX_FOLDERS, PackManifest, day_text
 from siltbed.streaming.tables import (
     LANDED,
     REJECTED,
     path_exists,
     read_commit,
     read_landed,
+    read_landed_commits,
     read_or_empty,
     read_rejected,
     write_messages,
@@ -402,9 +404,58 @@ class LandingJob:
 
     # -- reading back --------------------------------------------------------
 
-    def committed(self, spark: SparkSession) -> DataFrame:
-        """Landed rows of committed batches, each message once."""
-        return self._committed(spark, read_landed)
+    def committed(self, spark: SparkSession, days: list | None = None) -> DataFrame:
+        """Landed rows of committed batches, each message once.
+
+        ``days`` are values of the first bucket; only their packs are then opened,
+        beside the commits that no compaction has taken in yet. See ``compact``.
+        """
+        # The manifest is listed before the ledger: a commit missing in the one is then still found in the other.
+        manifest = PackManifest(spark, self.output, self.topic, self.mapper.buckets)
+        fresh, _ = self._unpacked(spark, manifest)
+        if days is not None:
+            fresh = fresh.where(day_text(self.mapper.buckets.fieldNames()[0]).isin(["" if d is None else str(d) for d in days]))
+        if not manifest.last:
+            return fresh
+        packed = manifest.rows(manifest.packs(), days, self.max_broadcast_rows)
+        return fresh.unionByName(packed.select(*fresh.columns))
+
+    def compact(self, spark: SparkSession, *, commit: bool = True) -> bool:
+        """Gather the rows of the commits since the last compaction by day; False if there are none.
+
+        Readers see the same messages before, during and after it. One compaction of a
+        topic may run at a time, beside landing and reading: a second one fails with
+        FencedWriterError. ``commit=False`` leaves its packs hidden, as a failure would.
+        """
+        manifest = PackManifest(spark, self.output, self.topic, self.mapper.buckets)
+        fresh, keys = self._unpacked(spark, manifest)
+        if keys.isEmpty():
+            return False
+        manifest.compact(fresh, keys, self.max_broadcast_rows, commit=commit)
+        return True
+
+    def _unpacked(self, spark: SparkSession, manifest: PackManifest) -> tuple[DataFrame, DataFrame]:
+        """Committed rows that no pack holds, and the keys of their commits."""
+        commits = OffsetLedger(spark, self.output).commits(self.group).where(F.col("topic") == self.topic)
+        if not manifest.last:
+            rows = read_landed(spark, self.output, self.mapper.buckets).where(F.col("topic") == self.topic)
+            return committed_read(rows, disjoint_ranges(commits), self.max_broadcast_rows), commits.select("commit_key").distinct()
+        held = small_side(manifest.held(), self.max_broadcast_rows).withColumn("held", F.lit(True))
+        placed = commits.join(held, "commit_key", "left")
+        keys = placed.where("held is null").select("commit_key").distinct()
+        # Offsets that a pack has stay there: its commits come before all others.
+        first = placed.withColumn("committed_ms", F.when(F.col("held").isNull(), F.coalesce("committed_ms", F.lit(0))))
+        ranges = disjoint_ranges(first.drop("held")).join(small_side(keys, self.max_broadcast_rows), "commit_key", "left_semi")
+        named = [r["commit_key"] for r in keys.limit(MAX_FOLDERS + 1).collect()]
+        if len(named) > MAX_FOLDERS:
+            rows = read_landed(spark, self.output, self.mapper.buckets).where(F.col("topic") == self.topic)
+        else:
+            named = [key for key in named if path_exists(spark, f"{self.output}/messages/commit_key={key}")]
+            if named:
+                rows = read_landed_commits(spark, self.output, named, self.topic, self.mapper.buckets)
+            else:
+                rows = read_landed(spark, f"{self.output}/none", self.mapper.buckets)
+        return committed_read(rows, ranges, self.max_broadcast_rows), keys
 
     def committed_rejects(self, spark: SparkSession) -> DataFrame:
         """Rejected rows of committed batches with their reasons."""

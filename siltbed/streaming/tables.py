@@ -3,6 +3,7 @@
     <root>/messages/commit_key=/outcome=landed/topic=/<buckets>/
     <root>/messages/commit_key=/outcome=rejected/topic=/...
     <root>/ledger/, <root>/ledger_heads/   (see ``ledger``)
+    <root>/packs/, <root>/manifest/        (see ``packs``)
 
 Landed and rejected rows are one write, so a batch is scanned and parsed once.
 Each commit key is its own folder: writing a batch again replaces that folder
@@ -98,6 +99,14 @@ def read_messages(spark: SparkSession, root: str, buckets: T.StructType = HOUR_B
     return read_or_empty(spark, f"{root}/messages", messages_schema(buckets))
 
 
+def read_landed_commits(spark: SparkSession, root: str, keys: list[str], topic: str, buckets: T.StructType) -> DataFrame:
+    """Landed rows of the named commits, whose folders must be there; no other commit's folder is listed."""
+    base = f"{root}/messages"
+    folders = [f"{base}/commit_key={key}" for key in keys]
+    rows = spark.read.schema(messages_schema(buckets)).option("basePath", base).parquet(*folders)
+    return rows.where((F.col("outcome") == LANDED) & (F.col("topic") == topic)).drop("outcome", "reject_reason", "chars")
+
+
 def read_landed(spark: SparkSession, root: str, buckets: T.StructType = HOUR_BUCKETS) -> DataFrame:
     """Every landed row on disk, committed or not. See ``committed_read``."""
     rows = read_messages(spark, root, buckets)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltbed.operators import (
+    Mapper,
     RolloverPolicy,
     batch_commit_metrics,
     csv_hour_mapper,
@@ -12,6 +13,8 @@ from siltbed.operators import (
     repeated_messages,
     rollover_reason,
 )
+from siltbed.operators.offsets import KEYS
+from siltbed.schema import ROUTE_BUCKETS
 from siltbed.sources import FileLog, FrameLog, KafkaLog
 from siltbed.streaming import (
     FencedWriterError,
@@ -28,6 +31,7 @@ from siltbed.streaming import (
     read_text,
 )
 from siltbed.streaming import landing as landing_module
+from siltbed.streaming.packs import PackManifest
 
 HOUR = 3_600_000
 
@@ -541,3 +545,93 @@ def test_gaps_between_commits(spark, log_of, tmp_path):
     assert job.gaps(spark).count() == 0
     job.land_batch(log_of([(0, o, message(o)) for o in (9, 10)] + [(1, 1, message(1))]), 1)
     assert [tuple(r) for r in job.gaps(spark).collect()] == [("t", 0, 5, 9, 4)]
+
+
+def rows_of(frame):
+    return sorted(tuple(row) for row in frame.select("partition", "offset", "line", "event_day", "event_hour", "commit_key").collect())
+
+
+def test_compaction_shows_the_same_rows_before_during_and_after(spark, log_of, tmp_path):
+    job = job_for(tmp_path, FrameLog(log_of([])))
+    assert not job.compact(spark)
+    for batch in range(6):
+        rows = [(p, o, message(o % 3 * 24, f"{p}-{o}") if o % 5 else "reject") for p in (0, 1) for o in range(batch * 10, batch * 10 + 10)]
+        job.land_batch(log_of(rows), batch)
+        before = rows_of(job.committed(spark))
+        assert len(before) == (batch + 1) * 16
+        opened_before = job.committed(spark)
+        job.compact(spark, commit=False)
+        assert rows_of(job.committed(spark)) == before
+        assert job.compact(spark)
+        assert rows_of(job.committed(spark)) == before
+        assert rows_of(opened_before) == before
+        assert job.committed_rejects(spark).count() == (batch + 1) * 4
+    assert not job.compact(spark)
+    packs = PackManifest(spark, job.output, "t", job.mapper.buckets).packs().collect()
+    assert sum(r.n_rows for r in packs) == len(before)
+    sizes = {day: sorted(r.n_rows for r in packs if r.day == day) for day in {r.day for r in packs}}
+    assert len(sizes) == 3 and all(b > 2 * a for s in sizes.values() for a, b in zip(s, s[1:]))
+
+
+def test_a_day_is_read_from_its_own_folders(spark, log_of, tmp_path):
+    job = job_for(tmp_path, FrameLog(log_of([])))
+    for batch in range(2):
+        job.land_batch(log_of([(0, o, message(o * 24)) for o in range(batch * 4, batch * 4 + 4)]), batch)
+    job.compact(spark)
+    one = job.committed(spark, days=["1970-01-03"])
+    assert offsets_of(one) == [(0, 2)]
+    assert [f.split("/event_day=")[1][:10] for f in one.inputFiles()] == ["1970-01-03"]
+    assert job.committed(spark, days=["2001-01-01"]).isEmpty()
+    job.land_batch(log_of([(0, 8, message(48)), (0, 9, message(72))]), 2)
+    again = job.committed(spark, days=["1970-01-03"])
+    assert offsets_of(again) == [(0, 2), (0, 8)]
+    assert len([f for f in again.inputFiles() if "/messages/" in f]) == 2
+
+
+def test_commits_of_rejects_and_overlaps_are_compacted(spark, log_of, tmp_path):
+    job = job_for(tmp_path, FrameLog(log_of([])))
+    job.land_batch(log_of([(0, 0, "reject")]), 0)
+    assert job.compact(spark) and job.committed(spark).isEmpty()
+    nothing = OffsetLedger(spark, job.output).heads("g").limit(0)
+    ledger = OffsetLedger(spark, job.output)
+    commits = (("b", 1, 5), ("a", 3, 8))
+    for key, low, high in commits:
+        job.land_batch(log_of([(0, o, message(o, key)) for o in range(low, high)]), 1, nothing, commit_key=key, commit=False)
+    for at, (key, low, high) in enumerate(commits):
+        row = [("t", "g", 0, low, high, 1, key, 9 - at)]
+        ledger.append(spark.createDataFrame(row, "topic string, grp string, partition int, start_offset bigint, next_offset bigint, batch_id bigint, commit_key string, committed_ms bigint"))
+        job.compact(spark)
+    # The first commit was in a pack before the other, whose time is earlier, came.
+    shown = [(r.offset, r.commit_key) for r in job.committed(spark).orderBy("offset").collect()]
+    assert shown == [(o, "b") for o in range(1, 5)] + [(o, "a") for o in range(5, 8)]
+
+
+def test_a_second_compaction_fails_by_name(spark, log_of, tmp_path, monkeypatch):
+    job = job_for(tmp_path, FrameLog(log_of([])))
+    job.land_batch(log_of([(0, 0, message(0)), (0, 1, message(30))]), 0)
+    enter = PackManifest._enter
+
+    def overtaken(self, *args):
+        monkeypatch.setattr(PackManifest, "_enter", enter)
+        assert job.compact(spark)
+        enter(self, *args)
+
+    monkeypatch.setattr(PackManifest, "_enter", overtaken)
+    with pytest.raises(FencedWriterError, match="entry 1 of the manifest"):
+        job.compact(spark)
+    assert offsets_of(job.committed(spark)) == [(0, 0), (0, 1)]
+
+
+def test_routes_of_any_text_are_compacted(spark, log_of, tmp_path):
+    def by_line(log):
+        return log.select(*KEYS, "offset", F.col("value").alias("line"), F.nullif(F.col("value"), F.lit("none")).alias("route"))
+
+    mapper = Mapper("any_route", by_line, ROUTE_BUCKETS)
+    job = job_for(tmp_path, FrameLog(log_of([])), mapper=mapper, topic="t")
+    lines = ["a/b", "a=b", "x y", "50%", "[1]", "none", "{q}", "ü:1"]
+    job.land_batch(log_of([(0, i, line) for i, line in enumerate(lines)]), 0)
+    before = sorted(map(str, job.committed(spark).collect()))
+    job.compact(spark)
+    assert len(before) == len(lines) and sorted(map(str, job.committed(spark).select(*job.committed(spark).columns).collect())) == before
+    for line in lines:
+        assert [r.line for r in job.committed(spark, days=[None if line == "none" else line]).collect()] == [line]
