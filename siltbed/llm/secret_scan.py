@@ -107,19 +107,31 @@ def candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
-def _spans(kind: str, order: int) -> str:
-    """Spans of the matches, from the texts between them: a running length over both."""
+def _spans(order: int) -> str:
+    """Spans of the matches, from the texts between them: a running length over both.
+
+    A fold copies its array for every element, so the matches are folded in blocks
+    of the square root of their number, from the lengths before each block: n matches
+    cost n x sqrt(n), also in a text that is one long dump of keys.
+    """
+    span = "struct<start:bigint,ord:int,end:bigint,ok:boolean>"
     return f"""
-      case when size(hits) = 0 then cast(array() as array<struct<start:bigint,ord:int,end:bigint,ok:boolean>>)
-      else aggregate(
-        sequence(0, size(hits) - 1),
-        named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,ord:int,end:bigint,ok:boolean>>)),
-        (s, i) -> named_struct(
-          'at', s.at + length(between[i]) + length(hits[i]),
-          'out', array_append(s.out, named_struct(
-            'start', s.at + length(between[i]), 'ord', {order},
-            'end', s.at + length(between[i]) + length(hits[i]), 'ok', length(checked[i]) >= least))),
-        s -> filter(s.out, x -> x.ok)) end"""
+      case when size(hits) = 0 then cast(array() as array<{span}>)
+      else flatten(transform(
+        aggregate(
+          transform(sequence(0, size(hits) - 1, block), b -> named_struct('low', b, 'len', aggregate(
+            slice(lengths, b + 1, block), 0L, (s, x) -> s + x.gap + x.hit))),
+          named_struct('at', 0L, 'out', cast(array() as array<struct<low:int,at:bigint>>)),
+          (s, x) -> named_struct('at', s.at + x.len, 'out', array_append(s.out, named_struct('low', x.low, 'at', s.at))),
+          s -> s.out),
+        b -> aggregate(
+          slice(lengths, b.low + 1, block),
+          named_struct('at', b.at, 'out', cast(array() as array<{span}>)),
+          (s, x) -> named_struct(
+            'at', s.at + x.gap + x.hit,
+            'out', if(x.ok, array_append(s.out, named_struct(
+              'start', s.at + x.gap, 'ord', {order}, 'end', s.at + x.gap + x.hit, 'ok', true)), s.out)),
+          s -> s.out))) end"""
 
 
 def matched(frame: DataFrame, rule: Rule, order: int, wanted: Column) -> DataFrame:
@@ -132,10 +144,15 @@ def matched(frame: DataFrame, rule: Rule, order: int, wanted: Column) -> DataFra
         hits=F.when(F.col("go"), F.regexp_extract_all("text", pattern, 0)).otherwise(none),
         between=F.when(F.col("go"), F.split("text", rule.pattern, -1)).otherwise(none),
         checked=F.when(F.col("go"), F.regexp_extract_all("text", pattern, rule.group)).otherwise(none),
-        least=F.lit(rule.least),
     )
-    spans = F.expr(_spans(rule.kind, order))
-    return settle(now, **{f"spans_{rule.kind}": spans}).drop("go", "hits", "between", "checked", "least")
+    now = settle(
+        now,
+        block=F.expr("cast(ceil(sqrt(greatest(size(hits), 1))) as int)"),
+        lengths=F.expr(f"""transform(hits, (hit, i) -> named_struct(
+          'gap', cast(length(between[i]) as bigint), 'hit', cast(length(hit) as bigint), 'ok', length(checked[i]) >= {rule.least}))"""),
+    )
+    spans = F.expr(_spans(order))
+    return settle(now, **{f"spans_{rule.kind}": spans}).drop("go", "hits", "between", "checked", "block", "lengths")
 
 
 def secrets(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
