@@ -194,7 +194,8 @@ def edited(text: str, following: str) -> str:
 def with_next(documents: DataFrame, p: FingerprintParameters) -> DataFrame:
     """Rows (area, id, th, guest, doc_id, text), where the rows of an area in order are neighbours.
 
-    Areas are ranges of ids between quantiles. Every area also gets, as a guest, a
+    Areas are ranges of ids between quantiles; rows of null id, which come last, are
+    dealt by ranges of their texts' hashes. Every area also gets, as a guest, a
     copy of the first document after it, so that neighbours meet in one task.
     """
     keyed = documents.select(
@@ -203,10 +204,13 @@ def with_next(documents: DataFrame, p: FingerprintParameters) -> DataFrame:
         F.xxhash64("text").alias("th"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    n = documents.count()
-    many = min(p.most_ranges, max(1, -(-n // p.range_rows)))
-    bounds = keyed.agg(F.percentile_approx("id", [k / many for k in range(1, many)] or [0.5], 10_000)).first()[0]
+    n, n_null = documents.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    many, many_null = (min(p.most_ranges, max(1, -(-rows // p.range_rows))) for rows in (n - n_null, n_null))
+    bounds = keyed.agg(F.percentile_approx("doc_id", [k / many for k in range(1, many)] or [0.5], 10_000)).first()[0]
     edges = np.unique(np.array(bounds if many > 1 else [], dtype=np.int64))
+    # A hash as a share of all hashes, in their order.
+    share = F.col("th").cast("double") / float(1 << 64) + 0.5
+    null_area = F.lit(len(edges) + 1) + F.least(F.floor(share * many_null), F.lit(many_null - 1)).cast("int")
 
     @F.pandas_udf("int")
     def area_of(ids):
@@ -214,7 +218,7 @@ def with_next(documents: DataFrame, p: FingerprintParameters) -> DataFrame:
 
         return pd.Series(np.searchsorted(edges, ids.to_numpy(), side="right").astype(np.int32))
 
-    placed = keyed.withColumn("area", area_of("id"))
+    placed = keyed.withColumn("area", F.when(F.col("doc_id").isNull(), null_area).otherwise(area_of("id")))
     firsts = placed.groupBy("area").agg(F.min(F.struct("id", "th")).alias("first"))
     starts = sorted((r["area"], r["first"]["id"], r["first"]["th"]) for r in stored(firsts, "areas").collect())
     guests = [(*starts[(k + 1) % len(starts)][1:], area) for k, (area, _, _) in enumerate(starts)]
