@@ -7,7 +7,7 @@ labelled rows (``sample_rows``); scoring reads every whole text.
 
 Null and empty texts have no n-grams and get the model's base score. Rows
 without label teach nothing; a document labelled twice is toxic if one label
-says so. A table without labels of both classes scores every text 0.5.
+says so; of several rows of a labelled id, one teaches. A table without labels of both classes scores every text 0.5.
 """
 
 from __future__ import annotations
@@ -93,8 +93,11 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, p: ToxicityParamete
     for value in (0, 1):
         part = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.sample_rows // 2)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # Bounded by sample_rows, 12 bytes a row.
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    # Bounded by sample_rows, 12 bytes a row. An id on several rows teaches by the one whose text hashes lowest,
+    # so that the sample has no more rows than ids.
+    near = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("th"), "toxic", "text")).alias("first")
+    return near.groupBy("doc_id").agg(first).select("first.toxic", "first.text")
 
 
 def fit(documents: DataFrame, labels: DataFrame, p: ToxicityParameters = ToxicityParameters()) -> ToxicityModel | None:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from dataclasses import replace
 
 import duckdb
 import numpy as np
@@ -242,6 +243,39 @@ def test_secrets(spark):
     assert secret_scan.trigram_query("(?i)(abcd|xyz)1?")[0] in ({"abc", "bcd"}, {"bcd", "abc", "cd1"})
 
 
+def test_secrets_of_a_dump_of_keys(spark):
+    """Spans of many matches in one text, in time that does not grow with their square."""
+    line = "token=" + "a1" * 8 + " é AKIA" + "Z" * 14 + " token=short\n"
+    many = 30_000
+    texts = spark.createDataFrame([(1, line * many), (2, line), (3, line * 5 + "x" * 3 + line * 2)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in secret_scan.secrets(texts).collect()}
+    for doc_id, text in ((1, line * many), (2, line), (3, line * 5 + "x" * 3 + line * 2)):
+        expected = [(m.start(), 0, m.end()) for m in re.finditer(r"token=[a1]{16}", text)]
+        expected += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIAZ+", text)]
+        expected += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]{16,}", text)]
+        kinds = ("assign", "access", "hex")
+        assert got[doc_id].spans == ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(expected))
+
+
+def test_null_ids_are_dealt_to_several_areas(spark):
+    rows = [(None, f"null row {i}.") for i in range(400)] + [(i, f"row {i}.") for i in range(40)] + [((1 << 63) - 1, "last id.")]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    p = replace(fingerprints.FingerprintParameters(), range_rows=50)
+    areas = fingerprints.with_next(texts, p).where(~F.col("guest"))
+    assert max(r["count"] for r in areas.groupBy("area").count().collect()) < 120
+    assert areas.where("doc_id is null").select("area").distinct().count() == 8
+    few = sorted(map(str, fingerprints.fingerprinted(texts, p).collect()))
+    assert len(few) == 441 and few == sorted(map(str, fingerprints.fingerprinted(texts).collect()))
+
+
+def test_a_labelled_id_on_many_rows_teaches_once(spark):
+    texts = spark.createDataFrame([(i % 4, f"text {i // 8}" if i % 8 else None) for i in range(80)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id bigint, toxic int")
+    kept = toxicity.labelled_sample(texts, marks, toxicity.ToxicityParameters())
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    assert kept.count() == marks.where(fold != 1).count()
+
+
 def test_personal_data():
     cases = {
         "a@b.com_c@d.org": [("email", 0, 7), ("email", 7, 15)],
