@@ -2,6 +2,7 @@ import glob
 import gzip
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from siltbed.operators import (
@@ -31,6 +32,7 @@ from siltbed.streaming import (
     read_text,
 )
 from siltbed.streaming import landing as landing_module
+from siltbed.streaming.ledger import _Folder
 from siltbed.streaming.packs import PackManifest
 
 HOUR = 3_600_000
@@ -539,6 +541,20 @@ def test_ledger_reads_stay_flat(spark, tmp_path, monkeypatch):
     assert ledger.read().count() == 34 and ledger.heads("g").first().saved_offset == 34
 
 
+def test_a_ledger_file_is_made_by_many_tasks_and_written_by_one(spark, tmp_path):
+    def made_by(batches):
+        for batch in batches:
+            yield batch.assign(task=TaskContext.get().partitionId())
+
+    ranges = spark.range(0, 60, 1, 6).mapInPandas(made_by, "id bigint, task int")
+    folder = _Folder(spark, str(tmp_path / "ledger"))
+    assert folder.put(ranges, "entry-t-1.parquet") and not folder.put(ranges, "entry-t-1.parquet")
+    assert folder.put(ranges.where("id < 0"), "entry-t-2.parquet")
+    first, second = (spark.read.parquet(f"{folder.path}/entry-t-{n}.parquet") for n in (1, 2))
+    assert first.count() == 60 and first.select("task").distinct().count() == 6
+    assert second.count() == 0 and second.columns == ["id", "task"]
+
+
 def test_gaps_between_commits(spark, log_of, tmp_path):
     job = job_for(tmp_path, FrameLog(log_of([])))
     job.land_batch(log_of([(0, o, message(o)) for o in (3, 4)] + [(1, 0, message(1))]), 0)
